@@ -47,7 +47,7 @@ def fit_logit(df: DataFrame, label: str, features: Sequence[str]):
     table = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip").transform(
         rows.dropna()
     )
-    return LogisticRegression(maxIter=200, tol=1e-12, regParam=0.0).fit(table)
+    return LogisticRegression(maxIter=100, tol=1e-9, regParam=0.0).fit(table)
 
 
 def logit_table(spark, model, features: Sequence[str]) -> DataFrame:
