@@ -643,19 +643,21 @@ def zscore_month(spark, folder):
 @query
 def lag_features(spark, folder):
     """D2"""
-    return tidy(features.shifted_days(_fact(spark, folder), lags={"pm25_mean": (1, 2)}))
+    fact = _fact(spark, folder).select("date", "pm25_mean")
+    return tidy(features.shifted_days(fact, lags={"pm25_mean": (1, 2)}))
 
 
 @query
 def rain_72h(spark, folder):
     """D3"""
-    return tidy(features.shifted_days(_fact(spark, folder), trailing_sums={"rain_24h_mm": 3}))
+    fact = _fact(spark, folder).select("date", "rain_24h_mm")
+    return tidy(features.shifted_days(fact, trailing_sums={"rain_24h_mm": 3}))
 
 
 @query
 def entity_lag_features(spark, folder):
     """D2, D3 per entity"""
-    days = _entity_days(spark, folder)
+    days = _entity_days(spark, folder).select("entity_id", "date", "commute_minutes", "opal_cost")
     return tidy(
         features.shifted_days(
             days, ["entity_id"], lags={"commute_minutes": (1,)}, trailing_sums={"opal_cost": 7}

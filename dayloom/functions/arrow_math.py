@@ -79,7 +79,8 @@ def solve_moments(columns: list[str], scaled: list[bool], rcond: float = 1e-10):
         spread = np.where(np.asarray(scaled) & (spread > 1e-12), spread, 1.0)
         gram = centred[:features, :features] / np.outer(spread, spread)
         cross = centred[:features, features] / spread
-        solution = np.linalg.pinv(gram, rcond=rcond, hermitian=True) @ cross
+        inverse = np.linalg.pinv(gram, rcond=rcond, hermitian=True)
+        solution = inverse @ cross
         slopes = solution / spread
         intercept = means[features] - means[:features] @ slopes
         left = centred[features, features] - cross @ solution
@@ -90,9 +91,7 @@ def solve_moments(columns: list[str], scaled: list[bool], rcond: float = 1e-10):
                 "intercept": [float(intercept)],
                 "slopes": [slopes.tolist()],
                 "residual_sum": [float(max(left, 0.0) * n)],
-                "inverse_diagonal": [
-                    (np.diag(np.linalg.pinv(gram, rcond=rcond, hermitian=True)) / spread**2 / n).tolist()
-                ],
+                "inverse_diagonal": [(np.diag(inverse) / spread**2 / n).tolist()],
             }
         )
 

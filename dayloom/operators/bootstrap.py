@@ -12,7 +12,7 @@ from dayloom.fixed_values import BOOTSTRAP_REPLICATES, INTERVAL_ALPHA
 from dayloom.functions.arrow_math import interval_scorer
 from dayloom.functions.scalars import hash_text, hash_word
 from dayloom.operators.ranking import hash_numbering
-from dayloom.operators.regression import Design, encode, fit_linear, model_rows, solve_replicates
+from dayloom.operators.regression import Design, encode, model_rows, solve_replicates
 
 # Poisson(1) distribution function at 0, 1, 2, … in 2**-32 steps; beyond it the uniform has no step left.
 POISSON_STEPS: list[int] = []
@@ -119,12 +119,16 @@ def prediction_intervals(
 ) -> DataFrame:
     """Point prediction of the full fit and a percentile interval over refits, for every usable row.
 
-    Refits need one pass: each partition adds up products for all replicates at once. Scoring is a
-    second, shuffle-free pass that carries replicates x features coefficients.
+    Fitting needs one pass: each partition adds up products for all replicates at once, and the full
+    fit is one more replicate in which every row has weight 1. Scoring is a second, shuffle-free pass
+    that carries replicates x features coefficients.
     """
     rows = model_rows(df, design, on_null)
-    point = fit_linear(rows, design, on_null)
-    refits = solve_replicates(with_weights(rows, key, seed, replicates, method), design, replicates, "_codes")
+    once = F.array(F.lit(replicates * 2**32 + 1).cast("bigint"))
+    weighted = with_weights(rows, key, seed, replicates, method).withColumn(
+        "_codes", F.when(F.col("_codes").isNull(), once).otherwise(F.concat("_codes", once))
+    )
+    *refits, point = solve_replicates(weighted, design, replicates + 1, "_codes")
     names = list(design.columns())
     intercepts = np.array([m.intercept for m in refits])
     slopes = np.array([[m.slopes[name] for name in names] for m in refits])

@@ -33,27 +33,36 @@ def shifted_days(
     entity_keys: Sequence[str] = (),
     lags: dict[str, Sequence[int]] | None = None,
     trailing_sums: dict[str, int] | None = None,
+    stretch_days: int = 366,
 ) -> DataFrame:
-    """Values of earlier calendar days, and sums over the last calendar days, today included.
+    """Add values of earlier calendar days, and sums over the last calendar days, today included.
 
-    Input has one row per entity and day. Each row is sent to the few days it counts for and those days
-    are grouped: one shuffle by day, where an ordered window would put a whole history in one task.
-    Days that do not exist in the input are not made up; a lag onto one is null.
+    Input has one row per entity and day; the lag onto a day that does not exist is null. A window over a
+    whole history would be one task per entity, or a single task without entities. So time is cut into
+    stretches, and the last days of a stretch are also sent to the next one: one shuffle of little more
+    than the input, and no window longer than a stretch.
     """
     lags, trailing_sums = lags or {}, trailing_sums or {}
     reach = max([0, *[k for ks in lags.values() for k in ks], *[d - 1 for d in trailing_sums.values()]])
-    offset = F.explode(F.sequence(F.lit(0), F.lit(reach))).alias("_back")
-    used = list(dict.fromkeys([*lags, *trailing_sums]))
-    spread = df.select(*entity_keys, F.to_date("date").alias("date"), *used, offset).withColumn(
-        "date", F.date_add("date", F.col("_back"))
+    length = max(stretch_days, 4 * reach)
+    numbered = df.withColumn("_day", F.datediff(F.to_date("date"), F.lit("1970-01-01").cast("date")))
+    own = F.floor(F.col("_day") / F.lit(length))
+    near_end = F.pmod(F.col("_day"), F.lit(length)) >= length - reach
+    sent = numbered.withColumn("_own", own).withColumn(
+        "_stretch", F.explode(F.when(near_end, F.array(own, own + 1)).otherwise(F.array(own)))
     )
-    columns: list[Column] = [F.max(F.when(F.col("_back") == 0, F.lit(True))).alias("_real")]
-    columns += [F.max(F.when(F.col("_back") == 0, F.col(c))).alias(c) for c in used]
-    for name, steps in lags.items():
-        columns += [F.max(F.when(F.col("_back") == k, F.col(name))).alias(f"{name}_lag{k}") for k in steps]
-    for name, days in trailing_sums.items():
-        columns.append(F.sum(F.when(F.col("_back") < days, F.col(name))).alias(f"{name}_{days}d"))
-    return spread.groupBy(*entity_keys, "date").agg(*columns).where("_real").drop("_real")
+    history = Window.partitionBy(*entity_keys, "_stretch").orderBy("_day")
+    columns = [
+        F.max(name).over(history.rangeBetween(-k, -k)).alias(f"{name}_lag{k}")
+        for name, steps in lags.items()
+        for k in steps
+    ]
+    columns += [
+        F.sum(name).over(history.rangeBetween(-(days - 1), 0)).alias(f"{name}_{days}d")
+        for name, days in trailing_sums.items()
+    ]
+    shifted = sent.select("*", *columns).where(F.col("_stretch") == F.col("_own"))
+    return shifted.drop("_day", "_own", "_stretch")
 
 
 # Public holidays that fall on the same date every year (month-day).
@@ -82,13 +91,24 @@ def calendar_features(df: DataFrame, holidays: DataFrame | None = None) -> DataF
 
 
 def mode_switch(days: DataFrame, entity_keys: Sequence[str] = ()) -> DataFrame:
-    """Add the usual mode of the entity and whether this day's mode differs from it."""
-    usual = column_mode(days, "primary_mode", entity_keys, "usual_mode")
+    """Add the usual mode of the entity and whether this day's mode differs from it.
+
+    Input has one row per entity and day, so an entity is no longer than the calendar. Both windows run on
+    one shuffle by entity; joining the usual modes back would read the trips twice.
+    """
     if entity_keys:
-        out = days.join(usual, list(entity_keys), "left")
+        same_mode = Window.partitionBy(*entity_keys, "primary_mode")
+        entity = Window.partitionBy(*entity_keys)
+        order = F.struct(-F.col("_n"), F.col("primary_mode"))
+        out = (
+            days.repartition(*entity_keys)
+            .withColumn("_n", F.count(F.lit(1)).over(same_mode))
+            .withColumn("usual_mode", F.min_by("primary_mode", order).over(entity))
+            .drop("_n")
+        )
     else:
-        row = usual.first()
-        out = days.withColumn("usual_mode", F.lit(row["usual_mode"] if row else None).cast("string"))
+        row = column_mode(days, "primary_mode").first()
+        out = days.withColumn("usual_mode", F.lit(row["primary_mode"] if row else None).cast("string"))
     return out.withColumn("mode_switch", F.col("primary_mode") != F.col("usual_mode"))
 
 

@@ -42,12 +42,17 @@ def difference_in_means(df: DataFrame, value: str, flag: Column, z: float = NORM
 
 
 def fit_logit(df: DataFrame, label: str, features: Sequence[str]):
-    """Unregularised logistic regression of a flag."""
+    """Unregularised logistic regression of a flag; rows with a missing value take no part.
+
+    Equal rows are merged into one with a weight, and kept while the optimiser passes over them.
+    """
     rows = df.select(F.col(label).cast("double").alias("label"), *[F.col(c).cast("double").alias(c) for c in features])
-    table = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip").transform(
-        rows.dropna()
-    )
-    return LogisticRegression(maxIter=100, tol=1e-9, regParam=0.0).fit(table)
+    merged = rows.dropna().groupBy("label", *features).agg(F.count(F.lit(1)).cast("double").alias("weight"))
+    table = VectorAssembler(inputCols=list(features), outputCol="features").transform(merged).persist()
+    try:
+        return LogisticRegression(weightCol="weight", maxIter=100, tol=1e-7, regParam=0.0).fit(table)
+    finally:
+        table.unpersist()
 
 
 def logit_table(spark, model, features: Sequence[str]) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from dayloom.fixed_values import NUMERIC_FEATURES, TARGET
 from dayloom.functions.arrow_math import moment_partials, solve_moments
-from dayloom.functions.scalars import weekday_dummies
+from dayloom.functions.scalars import hash_text, hash_word, weekday_dummies
 from dayloom.operators.ranking import hash_numbering
 
 MOMENT_SCHEMA = "replicate int, slot int, value double"
@@ -135,8 +135,11 @@ class LinearModel:
 def solve_replicates(
     rows: DataFrame, design: Design, replicates: int = 1, weights: str | None = None
 ) -> list[LinearModel]:
-    """One model per replicate. Only coefficients reach the driver: replicates x features numbers."""
-    scaling = fit_scaling(rows, design.numeric)
+    """One model per replicate. Only coefficients reach the driver: replicates x features numbers.
+
+    Features are first shifted and scaled by overall means, which keeps the sums of products accurate.
+    """
+    scaling = fit_scaling(rows.drop(weights) if weights else rows, design.numeric)
     encoded = encode(rows, design, scaling)
     names = list(design.columns())
     columns = [*[f"x_{name}" for name in names], design.target]
@@ -145,11 +148,10 @@ def solve_replicates(
         moment_sums(typed, columns, replicates, weights)
         .groupBy("replicate")
         .applyInPandas(solve_moments(columns, design.scaled()), SOLUTION_SCHEMA)
-        .orderBy("replicate")
         .collect()
     )
     models = []
-    for row in solved:
+    for row in sorted(solved, key=lambda r: r["replicate"]):
         slopes, intercept, spread = {}, row["intercept"], {}
         for name, slope, inverse in zip(names, row["slopes"], row["inverse_diagonal"]):
             if name in scaling.mean:
@@ -195,8 +197,6 @@ def split_holdout(
 ) -> DataFrame:
     """Add ``is_test``. Exact: ``ceil(share * n)`` rows in hash order. Otherwise each row by its own hash,
     which needs no shuffle and meets the share on average."""
-    from dayloom.functions.scalars import hash_text, hash_word
-
     if not exact:
         draw = hash_word(hash_text(seed, *[F.col(k) for k in key]))
         return df.withColumn("is_test", draw < F.lit(int(share * 2**32)))
