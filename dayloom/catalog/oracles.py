@@ -87,7 +87,7 @@ FROM orders"""
 CTES["f_personal"] = """
 SELECT o_custkey AS entity_id, CAST(o_orderdate AS DATE) AS date, (o_custkey * 7) % 3000 AS steps,
        CASE WHEN o_orderkey % 9 <> 0 THEN 4 + CAST(o_orderkey % 24 AS DOUBLE) / 4 END AS sleep_hours,
-       1 + CAST(o_orderkey % 17 AS DOUBLE) / 4 AS mood_1_5, o_custkey % 300 AS caffeine_mg,
+       1 + CAST(o_orderkey % 17 AS DOUBLE) / 4 AS mood_1_5, (o_custkey * 13) % 300 AS caffeine_mg,
        o_orderkey % 4 AS meeting_count, (o_orderkey % 4) * 15 AS meeting_minutes
 FROM orders"""
 CTES["f_reports"] = """

@@ -99,7 +99,7 @@ def personal(spark: SparkSession, folder: str) -> DataFrame:
         ((F.col("o_custkey") * 7) % 3000).alias("steps"),
         sleep.alias("sleep_hours"),
         (F.lit(1.0) + (F.col("o_orderkey") % 17).cast("double") / 4).alias("mood_1_5"),
-        (F.col("o_custkey") % 300).alias("caffeine_mg"),
+        ((F.col("o_custkey") * 13) % 300).alias("caffeine_mg"),
         (F.col("o_orderkey") % 4).alias("meeting_count"),
         ((F.col("o_orderkey") % 4) * 15).alias("meeting_minutes"),
     )
