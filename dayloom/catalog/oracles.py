@@ -399,6 +399,13 @@ ORACLES["weekday_summary"] = sql(
         V.WEEKDAY_SUMMARY_COLUMNS,
     )
 )
+WEEK_TWO = ["mood_1_5", "commute_minutes", "opal_cost", "rain_24h_mm", "steps", "sleep_hours"]
+ORACLES["weekday_summary_rounded"] = sql(
+    rounded(
+        f"SELECT weekday, {', '.join(f'round_even(avg({c}), 2) AS {c}' for c in WEEK_TWO)} FROM fact GROUP BY weekday",
+        WEEK_TWO,
+    )
+)
 ORACLES["weekday_mode"] = sql("SELECT weekday FROM fact GROUP BY weekday ORDER BY count(*) DESC, weekday LIMIT 1")
 CTES["usual_modes"] = """
 SELECT entity_id, primary_mode AS usual_mode FROM commute_entity_day GROUP BY entity_id, primary_mode
@@ -570,6 +577,10 @@ FROM (SELECT {keys}, count(*) AS n FROM {source} GROUP BY {keys})"""
 
 
 ORACLES["unique_key"] = sql(unique_key("trip_id", "f_trips") + "\nUNION ALL " + unique_key("date", "fact"))
+ORACLES["mart_health"] = sql(
+    """SELECT 'health' AS "check", CASE WHEN count(*) > 0 THEN 'pass' ELSE 'fail' END AS status,
+CASE WHEN count(*) > 0 THEN '' ELSE 'no rows' END AS problem, count(*) AS rows FROM fact"""
+)
 ORACLES["completeness"] = sql(
     rounded(
         "\nUNION ALL ".join(

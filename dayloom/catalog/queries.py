@@ -481,6 +481,13 @@ def weekday_summary(spark, folder):
     return tidy(profile.weekday_summary(_fact(spark, folder), V.WEEKDAY_SUMMARY_COLUMNS))
 
 
+@query
+def weekday_summary_rounded(spark, folder):
+    """Two digits"""
+    columns = ["mood_1_5", "commute_minutes", "opal_cost", "rain_24h_mm", "steps", "sleep_hours"]
+    return tidy(profile.weekday_summary(_fact(spark, folder), columns, digits=2))
+
+
 @query
 def weekday_mode(spark, folder):
     """A15"""
@@ -592,6 +599,14 @@ def quality_sql_marts(spark, folder):
     return tidy(quality.sql_mart_report(runs.sql_marts(_feeds(spark, folder)), AS_OF))
 
 
+@query
+def mart_health(spark, folder):
+    """Q11"""
+    path = scratch_path(spark, "fact")
+    datasets.write_mart(_fact(spark, folder), path)
+    return tidy(quality.health_report(spark.read.parquet(path)))
+
+
 @query
 def unique_key(spark, folder):
     """D12"""

@@ -46,17 +46,19 @@ def window_totals(
 ) -> DataFrame:
     """Sum event measures over ``[t - before_s, t + after_s)`` around each probe time ``t``.
 
-    A range join would emit every (probe, event) pair. Here the sum is a difference of two running
-    totals. Times are cut into cells no shorter than the window, so a window touches at most two
-    cells and running totals never leave a cell. Events are first combined per key and time stamp;
-    each probe contributes its two window ends, also combined, so a hot key costs one row per
-    distinct time. Times are zone-less timestamps. Windows without events give null measures.
+    A range join would emit every (probe, event) pair. Here the sum is a difference of running totals.
+    Time is cut into cells no shorter than the window, so a window touches at most two cells, and each
+    cell into 64 parts. Totals run within a part; a part learns what came before it in its cell from the
+    part totals. Events, and the two ends of every probe's window, are first combined per key and
+    microsecond, so a hot key costs one row per distinct time and no task sees more than one part of a
+    cell. Times are zone-less timestamps. A probe without a time gets null measures.
     """
-    cell_us = (before_s + after_s) * 1_000_000
+    parts = 64
+    part_us = -(-(before_s + after_s) * 1_000_000 // parts)
     names = list(measures)
 
-    def micros(column: Column | str) -> Column:
-        return F.unix_micros(F.col(column).cast("timestamp")) if isinstance(column, str) else column
+    def micros(column: str) -> Column:
+        return F.unix_micros(F.col(column).cast("timestamp"))
 
     steps = (
         events.where(F.col(event_time).isNotNull())
@@ -66,57 +68,59 @@ def window_totals(
         .withColumn("_edge", F.lit(False))
     )
     timed = probes.withColumn("_at", micros(probe_time))
+    opens_at, closes_at = F.col("_at") - before_s * 1_000_000, F.col("_at") + after_s * 1_000_000
     ends = (
         timed.where(F.col("_at").isNotNull())
-        .select(
-            *on,
-            F.explode(
-                F.array(F.col("_at") - F.lit(before_s * 1_000_000), F.col("_at") + F.lit(after_s * 1_000_000))
-            ).alias("_t"),
-        )
-        .groupBy(*on, "_t")
-        .agg(*[F.lit(None).cast("double").alias(n) for n in names])
-        .withColumn("_edge", F.lit(True))
+        .select(*on, F.explode(F.array(opens_at, closes_at)).alias("_t"))
+        .distinct()
+        .select(*on, "_t", *[F.lit(None).cast("double").alias(n) for n in names], F.lit(True).alias("_edge"))
+    )
+    line = (
+        steps.unionByName(ends)
+        .withColumn("_part", F.floor(F.col("_t") / F.lit(part_us)))
+        .withColumn("_cell", F.floor(F.col("_part") / F.lit(parts)))
     )
-    line = steps.unionByName(ends).withColumn("_cell", F.floor(F.col("_t") / F.lit(cell_us)))
+    # At most 64 rows per key and cell.
     cell = Window.partitionBy(*on, "_cell")
-    upto = cell.orderBy("_t").rangeBetween(Window.unboundedPreceding, -1)
-    marks = (
-        line.select(
-            *on,
-            "_t",
-            "_cell",
-            "_edge",
-            *[F.coalesce(F.sum(n).over(upto), F.lit(0.0)).alias(f"_upto_{n}") for n in names],
-            *[F.coalesce(F.sum(n).over(cell), F.lit(0.0)).alias(f"_cell_{n}") for n in names],
-        )
-        .where("_edge")
-        .drop("_edge")
+    earlier = cell.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = line.groupBy(*on, "_cell", "_part").agg(*[F.coalesce(F.sum(n), F.lit(0.0)).alias(n) for n in names])
+    starts = sums.select(
+        *on,
+        "_part",
+        *[F.coalesce(F.sum(n).over(earlier), F.lit(0.0)).alias(f"_start_{n}") for n in names],
+        *[F.sum(n).over(cell).alias(f"_cell_{n}") for n in names],
+    )
+    within = Window.partitionBy(*on, "_part").orderBy("_t").rangeBetween(Window.unboundedPreceding, -1)
+    running = line.select(
+        *on, "_t", "_cell", "_part", "_edge", *[F.coalesce(F.sum(n).over(within), F.lit(0.0)).alias(n) for n in names]
+    ).where("_edge")
+    marks = running.join(starts, [*on, "_part"]).select(
+        *on,
+        "_t",
+        "_cell",
+        *[(F.col(f"_start_{n}") + F.col(n)).alias(f"_upto_{n}") for n in names],
+        *[F.col(f"_cell_{n}") for n in names],
     )
     opens = marks.select(
         *on,
-        (F.col("_t") + F.lit(before_s * 1_000_000)).alias("_at"),
+        (F.col("_t") + before_s * 1_000_000).alias("_at"),
         F.col("_cell").alias("_first"),
         *[F.col(f"_upto_{n}").alias(f"_open_{n}") for n in names],
         *[F.col(f"_cell_{n}") for n in names],
     )
     closes = marks.select(
         *on,
-        (F.col("_t") - F.lit(after_s * 1_000_000)).alias("_at"),
+        (F.col("_t") - after_s * 1_000_000).alias("_at"),
         F.col("_cell").alias("_last"),
         *[F.col(f"_upto_{n}").alias(f"_close_{n}") for n in names],
     )
     # One row per key and probe time on both sides, so this join cannot fan out.
     windows = opens.join(closes, [*on, "_at"])
     spans = F.col("_last") > F.col("_first")
-    totals = windows.select(
-        *on,
-        "_at",
-        *[
-            (
-                F.col(f"_close_{n}") - F.col(f"_open_{n}") + F.when(spans, F.col(f"_cell_{n}")).otherwise(F.lit(0.0))
-            ).alias(n)
-            for n in names
-        ],
-    )
+
+    def total(n: str) -> Column:
+        carried = F.when(spans, F.col(f"_cell_{n}")).otherwise(F.lit(0.0))
+        return F.col(f"_close_{n}") - F.col(f"_open_{n}") + carried
+
+    totals = windows.select(*on, "_at", *[total(n).alias(n) for n in names])
     return timed.join(totals, [*on, "_at"], "left").drop("_at")

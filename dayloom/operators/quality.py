@@ -140,29 +140,49 @@ def enforce(report: DataFrame, mode: str = "record") -> DataFrame:
 # ---- table reports of the SQL marts -------------------------------------------------------------
 
 
+def _extremes(columns: Sequence[str]) -> list[Column]:
+    out = []
+    for c in columns:
+        value = no_nan(F.col(c).cast("double"))
+        out += [F.min(value).alias(f"{c}.min"), F.max(value).alias(f"{c}.max")]
+    return out
+
+
+def _range_status(column: str, low: float | None, high: float | None) -> Column:
+    under = F.coalesce(F.col(f"`{column}.min`") < low, F.lit(False)) if low is not None else F.lit(False)
+    over = F.coalesce(F.col(f"`{column}.max`") > high, F.lit(False)) if high is not None else F.lit(False)
+    return F.when(F.col("rows") == 0, SKIPPED).when(under | over, FAIL).otherwise(PASS)
+
+
+def _age_days(as_of: date | None) -> Column:
+    today = F.lit(as_of) if as_of is not None else F.to_date(F.convert_timezone(None, F.lit("UTC"), F.now()))
+    return F.datediff(today, F.col("max_value")).cast("bigint")
+
+
+def _fresh_status(max_age_days: int, as_of: date | None) -> Column:
+    return (
+        F.when(F.col("rows") == 0, SKIPPED)
+        .when(F.col("max_value").isNull(), FAIL)
+        .when(_age_days(as_of) <= max_age_days, PASS)
+        .otherwise(FAIL)
+    )
+
+
 def range_report(df: DataFrame, rules: Mapping[str, tuple[float | None, float | None]], table: str) -> DataFrame:
     """Minimum and maximum against the bounds. Missing values are ignored, an empty table is skipped."""
-    aggregates = [F.count(F.lit(1)).alias("rows")]
-    for c in rules:
-        value = no_nan(F.col(c).cast("double"))
-        aggregates += [F.min(value).alias(f"{c}.min"), F.max(value).alias(f"{c}.max")]
-    one_row = df.agg(*aggregates)
-    lines = []
-    for c, (low, high) in rules.items():
-        smallest, largest = F.col(f"`{c}.min`"), F.col(f"`{c}.max`")
-        under = F.coalesce(smallest < low, F.lit(False)) if low is not None else F.lit(False)
-        over = F.coalesce(largest > high, F.lit(False)) if high is not None else F.lit(False)
-        lines.append(
-            F.struct(
-                F.lit(table).alias("table"),
-                F.lit(f"range_{c}").alias("check"),
-                F.when(F.col("rows") == 0, SKIPPED).when(under | over, FAIL).otherwise(PASS).alias("status"),
-                smallest.alias("min"),
-                largest.alias("max"),
-                F.lit(low).cast("double").alias("expected_min"),
-                F.lit(high).cast("double").alias("expected_max"),
-            )
+    one_row = df.agg(F.count(F.lit(1)).alias("rows"), *_extremes(list(rules)))
+    lines = [
+        F.struct(
+            F.lit(table).alias("table"),
+            F.lit(f"range_{c}").alias("check"),
+            _range_status(c, low, high).alias("status"),
+            F.col(f"`{c}.min`").alias("min"),
+            F.col(f"`{c}.max`").alias("max"),
+            F.lit(low).cast("double").alias("expected_min"),
+            F.lit(high).cast("double").alias("expected_max"),
         )
+        for c, (low, high) in rules.items()
+    ]
     return one_row.select(F.explode(F.array(*lines)).alias("line")).select("line.*")
 
 
@@ -191,45 +211,36 @@ def freshness_report(
     df: DataFrame, table: str, max_age_days: int, as_of: date | None = None, column: str = "date"
 ) -> DataFrame:
     """Age in days of the newest day. A missing newest day fails, an empty table is skipped."""
-    today = F.lit(as_of) if as_of is not None else F.to_date(F.convert_timezone(None, F.lit("UTC"), F.now()))
-    newest = F.max(F.to_date(column))
-    seen = df.agg(F.count(F.lit(1)).alias("rows"), newest.alias("max_value"))
-    age = F.datediff(today, F.col("max_value"))
-    status = (
-        F.when(F.col("rows") == 0, SKIPPED)
-        .when(F.col("max_value").isNull(), FAIL)
-        .when(age <= max_age_days, PASS)
-        .otherwise(FAIL)
-    )
+    seen = df.agg(F.count(F.lit(1)).alias("rows"), F.max(F.to_date(column)).alias("max_value"))
     return seen.select(
         F.lit(table).alias("table"),
         F.lit("freshness").alias("check"),
-        status.alias("status"),
-        F.col("max_value"),
-        age.cast("bigint").alias("age_days"),
+        _fresh_status(max_age_days, as_of).alias("status"),
+        "max_value",
+        _age_days(as_of).alias("age_days"),
         F.lit(max_age_days).cast("bigint").alias("max_age_days"),
     )
 
 
 def sql_mart_report(tables: Mapping[str, DataFrame], as_of: date | None = None) -> DataFrame:
-    """Schema, range and freshness checks of the SQL marts as ``(table, check, status)``."""
+    """Schema, range and freshness checks of the SQL marts as ``(table, check, status)``.
+
+    One aggregation per table answers all of its checks.
+    """
     parts = []
     for name, df in tables.items():
-        problems = schema_problems(df, V.SQL_MART_SCHEMAS[name])
-        # Metadata only, but a row of the report needs a row to come from: one aggregate of the table.
-        rows = df.agg(F.count(F.lit(1)).alias("rows"))
-        parts.append(
-            rows.select(
-                F.lit(name).alias("table"),
-                F.lit("schema").alias("check"),
-                F.lit(FAIL if problems else PASS).alias("status"),
-            )
-        )
-        if name in V.SQL_MART_RANGES:
-            parts.append(range_report(df, V.SQL_MART_RANGES[name], name).select("table", "check", "status"))
+        ranges = V.SQL_MART_RANGES.get(name, {})
+        statuses = {"schema": F.lit(FAIL if schema_problems(df, V.SQL_MART_SCHEMAS[name]) else PASS)}
+        statuses |= {f"range_{c}": _range_status(c, low, high) for c, (low, high) in ranges.items()}
+        aggregates = [F.count(F.lit(1)).alias("rows"), *_extremes(list(ranges))]
         if name in V.SQL_MART_FRESHNESS_DAYS:
-            fresh = freshness_report(df, name, V.SQL_MART_FRESHNESS_DAYS[name], as_of)
-            parts.append(fresh.select("table", "check", "status"))
+            aggregates.append(F.max("date").alias("max_value"))
+            statuses["freshness"] = _fresh_status(V.SQL_MART_FRESHNESS_DAYS[name], as_of)
+        lines = [
+            F.struct(F.lit(name).alias("table"), F.lit(check).alias("check"), status.alias("status"))
+            for check, status in statuses.items()
+        ]
+        parts.append(df.agg(*aggregates).select(F.explode(F.array(*lines)).alias("line")).select("line.*"))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -263,13 +274,16 @@ def completeness_report(df: DataFrame, columns: Sequence[str], minimum: float =
     return one_row.select(F.explode(F.array(*lines)).alias("line")).select("line.*")
 
 
+def with_row_status(counts: DataFrame) -> DataFrame:
+    return counts.withColumn("status", F.when(F.col("rows") > 0, PASS).otherwise(FAIL))
+
+
 def feed_rows_report(feeds: Mapping[str, DataFrame]) -> DataFrame:
     """Each feed must have rows."""
     parts = [
         df.agg(F.lit(name).alias("dataset"), F.count(F.lit(1)).alias("rows")) for name, df in feeds.items()
     ]
-    counted = reduce(DataFrame.unionByName, parts)
-    return counted.withColumn("status", F.when(F.col("rows") > 0, PASS).otherwise(FAIL))
+    return with_row_status(reduce(DataFrame.unionByName, parts))
 
 
 def staleness_report(
@@ -289,13 +303,23 @@ def staleness_report(
     )
 
 
-def health_problem(df: DataFrame, expected: Sequence[str] = tuple(V.FACT_DAY_COLUMNS)) -> str | None:
-    """Why a saved mart is unusable, or None: column set, column order, no rows."""
+def column_problem(df: DataFrame, expected: Sequence[str]) -> str | None:
     found = list(df.columns)
-    if found != list(expected):
-        missing = [c for c in expected if c not in found]
-        extra = [c for c in found if c not in expected]
-        if missing or extra:
-            return f"columns differ; missing: {missing}, unexpected: {extra}"
-        return "columns are in another order"
-    return "no rows" if df.isEmpty() else None
+    missing = [c for c in expected if c not in found]
+    extra = [c for c in found if c not in expected]
+    if missing or extra:
+        return f"columns differ; missing: {missing}, unexpected: {extra}"
+    return None if found == list(expected) else "columns are in another order"
+
+
+def health_report(df: DataFrame, expected: Sequence[str] = tuple(V.FACT_DAY_COLUMNS)) -> DataFrame:
+    """The health of a saved mart as one row: status, problem, rows."""
+    problem = column_problem(df, expected)
+    text = F.when(F.lit(problem is not None), F.lit(problem)).when(F.col("rows") == 0, F.lit("no rows"))
+    counted = df.agg(F.count(F.lit(1)).alias("rows")).withColumn("problem", F.coalesce(text, F.lit("")))
+    return counted.select(
+        F.lit("health").alias("check"),
+        F.when(F.col("problem") == "", PASS).otherwise(FAIL).alias("status"),
+        "problem",
+        "rows",
+    )

@@ -17,9 +17,10 @@ def fact_day(
     """One wide row per commute day (and entity). Commute days drive; other feeds fill in.
 
     Environment has no entity and joins on the day alone. The staging tables arrive grouped by their
-    keys, so at day grain both joins reuse that partitioning; AQE may broadcast a side it measured.
+    keys: the personal join reuses that partitioning, and at day grain the environment join does too.
+    Nothing is broadcast by hint; AQE may do so with a side it has measured, and splits hot days.
     """
-    joined = commute.join(environment, "date", "left").join(personal, [*entity_keys, "date"], "left")
+    joined = commute.join(personal, [*entity_keys, "date"], "left").join(environment, "date", "left")
 
     def filled(name: str):
         return F.coalesce(F.col(name).cast("double"), F.lit(0.0))

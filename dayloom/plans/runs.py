@@ -7,9 +7,17 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from dayloom.fixed_values import FEED_SCHEMAS
-from dayloom.operators.quality import analyze_rules, enforce, mart_rules, run_suite, sql_mart_report
+from dayloom.operators.joins import choose_feed
+from dayloom.operators.quality import (
+    analyze_rules,
+    enforce,
+    mart_rules,
+    run_suite,
+    sql_mart_report,
+    with_row_status,
+)
 from dayloom.plans import marts, staging
-from dayloom.sources.datasets import read_fact, read_feed, write_csv, write_mart, write_sorted
+from dayloom.sources.datasets import land_feeds, read_fact, read_feed, write_csv, write_mart, write_sorted
 
 
 def stage(feeds: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -36,6 +44,20 @@ def sql_marts(feeds: dict[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
+def ingest(
+    feeds: dict[str, DataFrame], live: dict[str, DataFrame], raw: str, ingest_date: date
+) -> tuple[list[dict], DataFrame]:
+    """Land every feed, a live one in place of its counterpart when it has rows.
+
+    Returns what was landed and the check that each feed has rows.
+    """
+    chosen = {name: choose_feed(live[name], feed) if name in live else feed for name, feed in feeds.items()}
+    landed = land_feeds(chosen, raw, ingest_date)
+    spark = next(iter(feeds.values())).sparkSession
+    counts = spark.createDataFrame([(r["dataset"], r["rows"]) for r in landed], "dataset string, rows bigint")
+    return landed, with_row_status(counts)
+
+
 def build_fact(spark: SparkSession, raw: str, out: str, mode: str = "record") -> DataFrame:
     """Raw folder to staging CSV, ``fact_day`` Parquet and a quality report.
 

@@ -128,16 +128,19 @@ def write_mart(df: DataFrame, path: str) -> None:
 
 
 def write_sorted(df: DataFrame, path: str) -> None:
-    """Whole-table export in order of its first column: ranges of it, each sorted, one file each."""
-    df.orderBy(df.columns[0]).write.mode("overwrite").parquet(path)
+    """Whole-table export in order of its first column.
+
+    The other columns break ties, so that a value with very many rows can still spread over several
+    ranges.
+    """
+    df.orderBy(*df.columns).write.mode("overwrite").parquet(path)
 
 
 def write_by_month(df: DataFrame, path: str, day: str = "date") -> None:
-    """Mart in month folders. Rows meet by month first, so a month is not scattered over tiny files."""
+    """Mart in month folders. The rebalance keeps a month in few files and splits a month that is too big."""
     month = F.substring(iso_date(F.to_date(day)), 1, 7)
-    df.withColumn("year_month", month).repartition("year_month").write.mode("overwrite").partitionBy(
-        "year_month"
-    ).parquet(path)
+    rebalanced = df.withColumn("year_month", month).hint("rebalance", "year_month")
+    rebalanced.write.mode("overwrite").partitionBy("year_month").parquet(path)
 
 
 def feed_manifest(feeds: dict[str, tuple[DataFrame, str]]) -> DataFrame:

@@ -139,7 +139,7 @@ def pedestrian_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 def areas(spark: SparkSession, folder: str) -> DataFrame:
     """Customers' nations as areas, with their region."""
-    customers = table(spark, folder, "customer").select(F.col("c_nationkey").alias("n_nationkey"))
+    customers = table(spark, folder, "customer").select(F.col("c_nationkey").alias("n_nationkey")).distinct()
     nations = table(spark, folder, "nation").withColumn("n_nationkey", F.col("n_nationkey").cast("int"))
     regions = table(spark, folder, "region")
     return (

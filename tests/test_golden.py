@@ -72,6 +72,20 @@ def test_landed_run_end_to_end(spark):
     assert {r["status"] for r in runs.analyze(spark, f"{out}/fact_day").collect()} == {"pass"}
 
 
+def test_ingest_prefers_live_rows(spark):
+    from datetime import date
+
+    feeds = cases.feeds(spark)
+    live = {"weather": feeds["weather"].limit(1), "beachwatch": feeds["beachwatch"].limit(0)}
+    raw = scratch_path(spark, "raw")
+    landed, checks = runs.ingest(feeds, live, raw, date(2025, 1, 3))
+    assert {r["dataset"]: r["rows"] for r in landed} == {
+        "commute_trips": 8, "air_quality": 2, "weather": 1, "beachwatch": 4, "personal": 2,
+    }
+    assert {r["status"] for r in checks.collect()} == {"pass"}
+    assert datasets.read_feed(spark, raw, "weather").count() == 1
+
+
 def test_sql_marts_run(spark):
     from datetime import date
 

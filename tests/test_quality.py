@@ -116,8 +116,14 @@ def test_feed_reports(spark):
 
 def test_health(spark):
     fact = spark.createDataFrame([tuple("x" for _ in FACT_DAY_COLUMNS)], FACT_DAY_COLUMNS)
-    assert Q.health_problem(fact) is None
-    assert "missing: ['steps']" in Q.health_problem(fact.drop("steps"))
-    assert "unexpected: ['extra']" in Q.health_problem(fact.withColumn("extra", F.lit(1)))
-    assert "order" in Q.health_problem(fact.select(*reversed(FACT_DAY_COLUMNS)))
-    assert Q.health_problem(fact.limit(0)) == "no rows"
+
+    def problem(df):
+        row = Q.health_report(df).first()
+        assert (row["status"] == "pass") == (row["problem"] == "")
+        return row["problem"]
+
+    assert problem(fact) == ""
+    assert "missing: ['steps']" in problem(fact.drop("steps"))
+    assert "unexpected: ['extra']" in problem(fact.withColumn("extra", F.lit(1)))
+    assert "order" in problem(fact.select(*reversed(FACT_DAY_COLUMNS)))
+    assert problem(fact.limit(0)) == "no rows"
