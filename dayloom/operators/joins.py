@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dayloom.session import shared_dir
+
 
 def outer_chain(frames: Sequence[DataFrame], on: Sequence[str]) -> DataFrame:
     """Full outer join of all frames, keys coalesced."""
@@ -49,36 +51,45 @@ def window_totals(
     A range join would emit every (probe, event) pair. Here the sum is a difference of running totals.
     Time is cut into cells no shorter than the window, so a window touches at most two cells, and each
     cell into 64 parts. Totals run within a part; a part learns what came before it in its cell from the
-    part totals. Events, and the two ends of every probe's window, are first combined per key and
-    microsecond, so a hot key costs one row per distinct time and no task sees more than one part of a
-    cell. Times are zone-less timestamps. A probe without a time gets null measures.
+    part totals. Events are first combined per key and microsecond and probes per key and time, so a hot
+    key costs one row per distinct time, and no task sees more than one part of a cell. The combined rows
+    are checkpointed once, as they feed both the running totals and the part totals. Times are zone-less
+    timestamps. A probe without a time or key gets null measures.
     """
-    parts = 64
+    shared_dir(events.sparkSession)
+    parts, names = 64, list(measures)
     part_us = -(-(before_s + after_s) * 1_000_000 // parts)
-    names = list(measures)
+    keyed = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in on])
 
     def micros(column: str) -> Column:
         return F.unix_micros(F.col(column).cast("timestamp"))
 
+    def start_of(width: int) -> Column:
+        return F.col("_t") - F.pmod(F.col("_t"), F.lit(width).cast("bigint"))
+
     steps = (
-        events.where(F.col(event_time).isNotNull())
+        events.where(keyed & F.col(event_time).isNotNull())
         .select(*on, micros(event_time).alias("_t"), *[measures[n].alias(n) for n in names])
         .groupBy(*on, "_t")
         .agg(*[F.sum(n).alias(n) for n in names])
-        .withColumn("_edge", F.lit(False))
+        .withColumns({"_at": F.lit(None).cast("bigint"), "_opens": F.lit(None).cast("boolean")})
     )
     timed = probes.withColumn("_at", micros(probe_time))
-    opens_at, closes_at = F.col("_at") - before_s * 1_000_000, F.col("_at") + after_s * 1_000_000
+    window_ends = F.array(
+        F.struct((F.col("_at") - before_s * 1_000_000).alias("_t"), F.lit(True).alias("_opens")),
+        F.struct((F.col("_at") + after_s * 1_000_000).alias("_t"), F.lit(False).alias("_opens")),
+    )
     ends = (
-        timed.where(F.col("_at").isNotNull())
-        .select(*on, F.explode(F.array(opens_at, closes_at)).alias("_t"))
+        timed.where(keyed & F.col("_at").isNotNull())
+        .select(*on, "_at")
         .distinct()
-        .select(*on, "_t", *[F.lit(None).cast("double").alias(n) for n in names], F.lit(True).alias("_edge"))
+        .select(*on, "_at", F.explode(window_ends).alias("_e"))
+        .select(*on, "_e._t", *[F.lit(None).cast("double").alias(n) for n in names], "_at", "_e._opens")
     )
     line = (
         steps.unionByName(ends)
-        .withColumn("_part", F.floor(F.col("_t") / F.lit(part_us)))
-        .withColumn("_cell", F.floor(F.col("_part") / F.lit(parts)))
+        .withColumns({"_part": start_of(part_us), "_cell": start_of(part_us * parts)})
+        .checkpoint()
     )
     # At most 64 rows per key and cell.
     cell = Window.partitionBy(*on, "_cell")
@@ -92,35 +103,18 @@ def window_totals(
     )
     within = Window.partitionBy(*on, "_part").orderBy("_t").rangeBetween(Window.unboundedPreceding, -1)
     running = line.select(
-        *on, "_t", "_cell", "_part", "_edge", *[F.coalesce(F.sum(n).over(within), F.lit(0.0)).alias(n) for n in names]
-    ).where("_edge")
-    marks = running.join(starts, [*on, "_part"]).select(
-        *on,
-        "_t",
-        "_cell",
-        *[(F.col(f"_start_{n}") + F.col(n)).alias(f"_upto_{n}") for n in names],
-        *[F.col(f"_cell_{n}") for n in names],
-    )
-    opens = marks.select(
-        *on,
-        (F.col("_t") + before_s * 1_000_000).alias("_at"),
-        F.col("_cell").alias("_first"),
-        *[F.col(f"_upto_{n}").alias(f"_open_{n}") for n in names],
-        *[F.col(f"_cell_{n}") for n in names],
-    )
-    closes = marks.select(
-        *on,
-        (F.col("_t") - after_s * 1_000_000).alias("_at"),
-        F.col("_cell").alias("_last"),
-        *[F.col(f"_upto_{n}").alias(f"_close_{n}") for n in names],
-    )
-    # One row per key and probe time on both sides, so this join cannot fan out.
-    windows = opens.join(closes, [*on, "_at"])
-    spans = F.col("_last") > F.col("_first")
+        *on, "_at", "_opens", "_cell", "_part", *[F.coalesce(F.sum(n).over(within), F.lit(0.0)).alias(n) for n in names]
+    ).where(F.col("_opens").isNotNull())
+
+    def pick(opens: bool, value: Column) -> Column:
+        return F.max(F.when(F.col("_opens") == opens, value))
+
+    crossed = pick(False, F.col("_cell")) > pick(True, F.col("_cell"))
 
     def total(n: str) -> Column:
-        carried = F.when(spans, F.col(f"_cell_{n}")).otherwise(F.lit(0.0))
-        return F.col(f"_close_{n}") - F.col(f"_open_{n}") + carried
+        upto = F.col(f"_start_{n}") + F.col(n)
+        carried = F.when(crossed, pick(True, F.col(f"_cell_{n}"))).otherwise(F.lit(0.0))
+        return pick(False, upto) - pick(True, upto) + carried
 
-    totals = windows.select(*on, "_at", *[total(n).alias(n) for n in names])
+    totals = running.join(starts, [*on, "_part"]).groupBy(*on, "_at").agg(*[total(n).alias(n) for n in names])
     return timed.join(totals, [*on, "_at"], "left").drop("_at")
