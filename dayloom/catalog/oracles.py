@@ -32,7 +32,7 @@ def sql(body: str) -> str:
 
 
 def rounded(body: str, columns: list[str], digits: int = 8) -> str:
-    changes = ", ".join(f"round({c}, {digits}) + 0.0 AS {c}" for c in columns)
+    changes = ", ".join(f"round_even(CAST({c} AS DOUBLE), {digits}) + 0.0 AS {c}" for c in columns)
     return f"SELECT * REPLACE ({changes}) FROM ({body}) AS _r"
 
 
@@ -121,7 +121,7 @@ SELECT {base}, any_value(p.primary_mode) AS primary_mode, sum(b.minutes) AS comm
        {counted} AS total_trip_count, avg(nullif(b.delay, 0)) AS mean_delay_s, max(b.delay) AS max_delay_s
 FROM trip_base b LEFT JOIN (
     SELECT {keys}, primary_mode FROM {modes}
-    QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY round(score, 8) DESC, primary_mode) = 1) p ON {on}
+    QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY round_even(score, 8) DESC, primary_mode) = 1) p ON {on}
 GROUP BY {base}"""
 
 
@@ -138,7 +138,7 @@ SELECT {local_day('observation_ts')} AS date, station_id, avg(pm25) AS pm25_mean
 FROM f_air GROUP BY ALL"""
 CTES["first_station"] = """
 SELECT date, station_id AS primary_station_id FROM station_days
-QUALIFY row_number() OVER (PARTITION BY date ORDER BY round(pm25_mean, 8) DESC NULLS LAST, station_id) = 1"""
+QUALIFY row_number() OVER (PARTITION BY date ORDER BY round_even(pm25_mean, 8) DESC NULLS LAST, station_id) = 1"""
 CTES["weather_days"] = f"""
 SELECT {local_day('observation_ts')} AS date, sum(rain_mm) AS rain_mm, avg(temperature_c) AS temp_mean_c
 FROM f_weather GROUP BY ALL"""
@@ -157,7 +157,7 @@ FROM air_days LEFT JOIN first_station USING (date) FULL JOIN weather_days USING
 FULL JOIN beach_days USING (date)"""
 CTES["env_day_sql"] = """
 SELECT date,
-       arg_min(a.station_id, {'m': -round(a.pm25_mean, 8), 's': a.station_id})
+       arg_min(a.station_id, {'m': -round_even(a.pm25_mean, 8), 's': a.station_id})
            FILTER (WHERE a.pm25_mean IS NOT NULL AND a.station_id IS NOT NULL) AS primary_station_id,
        avg(a.pm25_mean) AS pm25_mean, avg(a.pm10_mean) AS pm10_mean, max(w.rain_mm) AS rain_24h,
        avg(w.temp_mean_c) AS temp_mean_c, max(b.beach_status_primary) AS beach_status_primary,
@@ -208,7 +208,7 @@ DATE_TEXT = "CAST(date AS VARCHAR) AS date"
 
 ORACLES["mode_rank"] = sql(rounded(f"SELECT * REPLACE ({DATE_TEXT}) FROM mode_days", ["avg_delay", "score"]))
 PRIMARY = f"""SELECT {DATE_TEXT}, primary_mode FROM mode_days
-QUALIFY row_number() OVER (PARTITION BY mode_days.date ORDER BY round(score, 8) DESC, primary_mode) = 1"""
+QUALIFY row_number() OVER (PARTITION BY mode_days.date ORDER BY round_even(score, 8) DESC, primary_mode) = 1"""
 ORACLES["primary_mode"] = sql(PRIMARY)
 ORACLES["primary_mode_keep_first"] = sql(PRIMARY)
 COMMUTE_DOUBLES = ["commute_minutes", "opal_cost", "mean_delay_s", "max_delay_s"]
@@ -713,11 +713,14 @@ ORACLES["pedestrian_day"] = sql(
 CAST(sum(CASE WHEN {in_windows('counted_ts')} THEN people ELSE 0 END) AS BIGINT) AS people_commuting
 FROM f_pedestrian GROUP BY ALL"""
 )
+CTES["trip_hours"] = """
+SELECT trip_id, route, trip_start_ts, unnest([date_trunc('hour', trip_start_ts - INTERVAL 30 MINUTES),
+       date_trunc('hour', trip_start_ts - INTERVAL 30 MINUTES) + INTERVAL 1 HOUR]) AS hour FROM f_routed"""
 ORACLES["trip_delays"] = sql(
     rounded(
         """SELECT t.trip_id, t.route, CAST(count(r.ts) AS DOUBLE) AS reports, coalesce(sum(r.delay_s), 0.0) AS delay_total,
         avg(r.delay_s) AS mean_delay_s
-        FROM f_routed t LEFT JOIN f_reports r ON r.route = t.route
+        FROM trip_hours t LEFT JOIN f_reports r ON r.route = t.route AND date_trunc('hour', r.ts) = t.hour
             AND r.ts >= t.trip_start_ts - INTERVAL 30 MINUTES AND r.ts < t.trip_start_ts + INTERVAL 30 MINUTES
         GROUP BY t.trip_id, t.route""",
         ["reports", "delay_total", "mean_delay_s"],

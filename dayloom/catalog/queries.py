@@ -43,7 +43,7 @@ def tidy(df: DataFrame, digits: int = 8) -> DataFrame:
     for field in df.schema.fields:
         column, kind = F.col(f"`{field.name}`"), field.dataType
         if isinstance(kind, (T.DoubleType, T.FloatType)):
-            column = F.round(column.cast("double"), digits) + F.lit(0.0)
+            column = S.round_even(column.cast("double"), digits) + F.lit(0.0)
         elif isinstance(kind, T.DateType):
             column = S.iso_date(column)
         elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
@@ -100,7 +100,7 @@ def primary_mode(spark, folder):
 def primary_mode_keep_first(spark, folder):
     """The same choice by sorting and keeping the first row"""
     modes = staging.mode_days(tf.commute_trips(spark, folder))
-    best = ranking.keep_first(modes, ["date"], F.round("score", 8).desc_nulls_last(), F.col("primary_mode"))
+    best = ranking.keep_first(modes, ["date"], S.round_even("score", 8).desc_nulls_last(), F.col("primary_mode"))
     return tidy(best.select("date", "primary_mode"))
 
 

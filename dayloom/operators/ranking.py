@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dayloom.functions.scalars import hash_text
+from dayloom.functions.scalars import hash_text, round_even
 
 
 def arg_top(value: Column, score: Column, *tiebreak: Column, digits: int = 8) -> Column:
@@ -15,7 +15,7 @@ def arg_top(value: Column, score: Column, *tiebreak: Column, digits: int = 8) ->
     Scores built from floating sums differ in their last bits with the order of the rows, so they
     are compared at ``digits`` decimals.
     """
-    rank = F.round(score, digits)
+    rank = round_even(score, digits)
     order = F.struct(rank.isNull(), -rank, *(tiebreak or (value,)))
     return F.min_by(value, order)
 

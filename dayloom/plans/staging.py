@@ -203,7 +203,7 @@ def stg_env_day_sql(
     station_ok = F.col("station_id").isNotNull() & F.col("pm25_mean").isNotNull()
     site_ok = F.col("beach_site_id").isNotNull() & F.col("enterococci_mean").isNotNull()
     return joined.groupBy(*keys).agg(
-        F.min_by("station_id", F.when(station_ok, F.struct(-F.round("pm25_mean", 8), "station_id"))).alias(
+        F.min_by("station_id", F.when(station_ok, F.struct(-round_even("pm25_mean", 8), "station_id"))).alias(
             "primary_station_id"
         ),
         F.avg("pm25_mean").alias("pm25_mean"),
