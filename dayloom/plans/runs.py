@@ -17,7 +17,7 @@ from dayloom.operators.quality import (
     with_row_status,
 )
 from dayloom.plans import marts, staging
-from dayloom.sources.datasets import land_feeds, read_fact, read_feed, write_csv, write_mart, write_sorted
+from dayloom.sources.datasets import land_feeds, read_feed, write_csv, write_mart, write_sorted
 
 
 def stage(feeds: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -103,7 +103,3 @@ def analyze(spark: SparkSession, fact_path: str, mode: str = "record") -> DataFr
     """Checks of a saved fact table; fails when it is absent."""
     saved = spark.read.parquet(fact_path)
     return enforce(run_suite(saved, analyze_rules(saved)), mode)
-
-
-def load_for_model(spark: SparkSession, fact_path: str) -> DataFrame:
-    return read_fact(spark, fact_path)

@@ -1,6 +1,5 @@
 from datetime import date, datetime
 
-import pytest
 from pyspark.sql import functions as F
 
 from dayloom.operators import cleaning, joins
