@@ -1,6 +1,7 @@
 """Session defaults and the shared scratch folder."""
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -15,8 +16,10 @@ REQUIRED_CONF = {
 }
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
-    """A single-machine session for tests and the bench."""
+def local_session(
+    cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g", scratch: str | None = None
+) -> SparkSession:
+    """A single-machine session for tests and the bench; ``scratch`` is its shared folder."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("dayloom")
@@ -24,6 +27,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        .config("spark.checkpoint.dir", scratch or tempfile.mkdtemp(prefix="dayloom-"))
     )
     for key, value in REQUIRED_CONF.items():
         builder = builder.config(key, value)
@@ -35,17 +39,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, named by ``spark.checkpoint.dir``.
 
-    Only a local session, where driver and executors share one disk, may fall back to a temporary
-    folder; on a cluster an unset folder is an error.
+    Where it is unset, a session on one machine, whose driver and executors share one disk, gets a folder of its own;
+    on a cluster an unset folder is an error.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not configured:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         configured = tempfile.mkdtemp(prefix="dayloom-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(configured)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(configured)
     return configured
 
 
