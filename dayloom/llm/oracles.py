@@ -7,7 +7,23 @@ SELECT page_id, url,
 FROM pages
 """
 
+_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+# Base 32 of a SHA-1: each 5 hexadecimal digits are 4 characters.
+_DIGEST = f"""
+array_to_string(list_transform(range(8), i ->
+    array_to_string(list_transform([15, 10, 5, 0], s ->
+        '{_BASE32}'[(((('0x' || sha1(payload)[i * 5 + 1 : i * 5 + 5])::INTEGER >> s) & 31) + 1)::INTEGER]), '')), '')
+"""
+
 ORACLES: dict[str, str] = {
+    "op1_warc": f"""
+WITH rows AS (SELECT page_id, url, coalesce(html, '') AS payload FROM pages),
+digests AS (SELECT page_id, url, strlen(payload) AS payload_bytes, {_DIGEST} AS payload_digest FROM rows),
+firsts AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM digests)
+SELECT page_id, url, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, payload_bytes, payload_digest,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM firsts
+""",
     "op6_url_filter": f"""
 WITH rules(rule, r_host, r_path, said) AS (
     VALUES ('org/', 'org', '/', 'allow'), ('example.org/es/', 'example.org', '/es/', 'block'),

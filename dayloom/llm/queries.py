@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dayloom.llm import mixing, quality, secrets, urls
+from dayloom.llm import extract, mixing, pieces, quality, secrets, urls, warc
 from dayloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -16,6 +16,16 @@ def query(function):
     return function
 
 
+@query
+def op1_warc(spark, folder):
+    return warc.round_trip(table(spark, folder, "pages"))
+
+
+@query
+def op3_html_text(spark, folder):
+    return extract.extract_pages(table(spark, folder, "pages"))
+
+
 @query
 def op5_secret_scan(spark, folder):
     return secrets.report(table(spark, folder, "documents"))
@@ -38,3 +48,8 @@ def op7_quality_rules(spark, folder):
 def op8_source_mix(spark, folder):
     mixed = mixing.mix(table(spark, folder, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op10_pieces(spark, folder):
+    return pieces.encode_documents(table(spark, folder, "documents")).drop("text")
