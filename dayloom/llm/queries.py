@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dayloom.llm import extract, mixing, pieces, quality, secrets, urls, warc
+from dayloom.llm import extract, mixing, neighbours, pieces, quality, secrets, urls, warc
 from dayloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,6 +21,12 @@ def op1_warc(spark, folder):
     return warc.round_trip(table(spark, folder, "pages"))
 
 
+@query
+def op2_nearest_vectors(spark, folder):
+    vectors = table(spark, folder, "embeddings")
+    return neighbours.search(vectors, vectors.where("vec_id % 50 = 0"))
+
+
 @query
 def op3_html_text(spark, folder):
     return extract.extract_pages(table(spark, folder, "pages"))
