@@ -10,8 +10,8 @@ FROM pages
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 # Base 32 of a SHA-1: each 5 hexadecimal digits are 4 characters.
 _DIGEST = f"""
-array_to_string(list_transform(range(8), i ->
-    array_to_string(list_transform([15, 10, 5, 0], s ->
+array_to_string(list_transform(range(8), lambda i:
+    array_to_string(list_transform([15, 10, 5, 0], lambda s:
         '{_BASE32}'[(((('0x' || sha1(payload)[i * 5 + 1 : i * 5 + 5])::INTEGER >> s) & 31) + 1)::INTEGER]), '')), '')
 """
 
@@ -43,5 +43,28 @@ fits AS (
     GROUP BY n)
 SELECT page_id, host, path, rule, coalesce(said, 'allow') AS verdict
 FROM numbered LEFT JOIN fits USING (n)
+""",
+    "op4_similar_documents": r"""
+WITH RECURSIVE
+words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+keyed AS (SELECT doc_id, w, array_to_string(w, ' ') AS k FROM words),
+texts AS (
+    SELECT k, any_value(w) AS w, min(doc_id) AS copy_of, count(*) AS copies FROM keyed WHERE len(w) > 0 GROUP BY k),
+sets AS (
+    SELECT copy_of AS id, copies,
+           list_distinct(CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                              ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' ')) END) AS s
+    FROM texts),
+tokens AS (SELECT id, len(s) AS n, unnest(s) AS t FROM sets),
+shared AS (
+    SELECT a.id AS x, b.id AS y, count(*) AS c, any_value(a.n) AS n, any_value(b.n) AS m
+    FROM tokens a JOIN tokens b ON a.t = b.t AND a.id <> b.id GROUP BY 1, 2),
+links AS (SELECT x, y FROM shared WHERE c >= 0.8 * (n + m - c) - 1e-9),
+reach(x, y) AS (SELECT id, id FROM sets UNION SELECT reach.x, links.y FROM reach JOIN links ON links.x = reach.y),
+classes AS (SELECT x, min(y) AS class_id FROM reach GROUP BY x),
+degrees AS (SELECT x, sum(copies) AS d FROM links JOIN sets ON sets.id = links.y GROUP BY x)
+SELECT keyed.doc_id, coalesce(class_id, keyed.doc_id) AS class_id, coalesce(copy_of, keyed.doc_id) AS copy_of,
+       (coalesce(d, 0) + coalesce(copies - 1, 0))::BIGINT AS n_links
+FROM keyed LEFT JOIN texts USING (k) LEFT JOIN classes ON classes.x = copy_of LEFT JOIN degrees ON degrees.x = copy_of
 """,
 }

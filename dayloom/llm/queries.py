@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dayloom.llm import extract, mixing, neighbours, pieces, quality, secrets, urls, warc
+from dayloom.llm import extract, mixing, neighbours, pieces, quality, secrets, setjoin, urls, warc
 from dayloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,6 +32,11 @@ def op3_html_text(spark, folder):
     return extract.extract_pages(table(spark, folder, "pages"))
 
 
+@query
+def op4_similar_documents(spark, folder):
+    return setjoin.similar_documents(table(spark, folder, "documents")).drop("key", "label")
+
+
 @query
 def op5_secret_scan(spark, folder):
     return secrets.report(table(spark, folder, "documents"))
