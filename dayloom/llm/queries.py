@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dayloom.llm import extract, mixing, neighbours, pieces, quality, secrets, setjoin, urls, warc
+from dayloom.llm import extract, mixing, neighbours, pieces, quality, repeats, secrets, setjoin, urls, warc
 from dayloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,6 +61,11 @@ def op8_source_mix(spark, folder):
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op9_repeated_strings(spark, folder):
+    return repeats.remove_repeats(table(spark, folder, "documents"))
+
+
 @query
 def op10_pieces(spark, folder):
     return pieces.encode_documents(table(spark, folder, "documents")).drop("text")
