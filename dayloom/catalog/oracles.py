@@ -8,6 +8,7 @@ import re
 
 from dayloom import fixed_values as V
 from dayloom.operators.bootstrap import POISSON_STEPS
+from dayloom.operators.inference import STUDENT_TERMS
 
 CTES: dict[str, str] = {}
 ORACLES: dict[str, str] = {}
@@ -297,7 +298,7 @@ ELSE 'Very good' END, count(*) FROM (SELECT greatest(0.0, least(1.0, pm25 / 48))
 UNION ALL SELECT 'rain', {RAIN_CASE.format('rain_mm')}, count(*) FROM f_weather GROUP BY ALL"""
 )
 ORACLES["encoded_filters"] = """SELECT '{"o_orderstatus":"F","o_orderpriority":"1-URGENT"}' AS filters,
-count(*) AS n FROM orders WHERE o_orderstatus = 'F' HAVING count(*) > 0"""
+count(*) AS n FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' HAVING count(*) > 0"""
 ORACLES["hashed_sites"] = sql("SELECT sha256(site_id || 'pepper') AS site_hash, count(*) AS n FROM f_beach GROUP BY 1")
 
 # ---- sources, cleaning, sinks -------------------------------------------------------------------
@@ -328,9 +329,27 @@ ORACLES["filtered_records"] = rounded(
     ["o_totalprice"],
 )
 ORACLES["record_pages"] = "SELECT o_orderkey, o_custkey, o_orderpriority FROM orders"
+ORACLES["record_page_totals"] = """SELECT (SELECT count(DISTINCT floor(o_orderkey / 1000)) FROM orders) AS pages, count(*) AS rows,
+count(*) AS total, true AS complete FROM orders"""
+ORACLES["refused_rows"] = sql(
+    "\nUNION ALL ".join(
+        f"""SELECT 'commute_trips' AS feed, '{c}' AS "column", count(*) AS rows, count(*) FILTER (WHERE {bad}) AS refused FROM f_trips"""
+        for c, bad in {
+            "trip_id": "false", "trip_start_ts": "trip_minutes % 7 = 0", "primary_mode": "false", "trip_minutes": "trip_minutes % 5 = 0",
+            "fare_amount": "false", "delay_seconds": "false",
+        }.items()
+    )
+)
+ORACLES["payload_files"] = """
+SELECT strlen(t) AS size_bytes, sha256(t) AS sha256 FROM (
+    SELECT string_agg(CAST(s_suppkey AS VARCHAR), ',' ORDER BY CAST(s_suppkey AS VARCHAR)) || chr(10) AS t
+    FROM supplier WHERE s_nationkey IS NOT NULL GROUP BY s_nationkey)"""
+ORACLES["absent_columns"] = sql(
+    rounded(f"SELECT {DATE_TEXT}, rain_mm, CAST(NULL AS DOUBLE) AS temp_mean_c FROM weather_days", ["rain_mm"])
+)
 ORACLES["feed_views"] = sql(
     rounded(
-        f"SELECT {DATE_TEXT}, rain_mm AS rain_24h, temp_mean_c, CAST(0 AS BIGINT) AS beach_rows FROM weather_days",
+        f"SELECT {DATE_TEXT}, rain_mm AS rain_24h, temp_mean_c, (SELECT count(*) FROM f_beach) AS beach_rows FROM weather_days",
         ["rain_24h", "temp_mean_c"],
     )
 )
@@ -555,18 +574,31 @@ ORACLES["quality_freshness"] = sql(
     freshness("stg_commute_day", "commute_day") + "\nUNION ALL " + freshness("weather_day", "weather_days")
 )
 FRESH = {"stg_commute_day": "commute_day", "stg_env_day": "env_day_sql", "dim_environment_metric": "env_day_sql"}
+_NOTHING = "'' AS missing, '' AS mismatched"
 ORACLES["quality_sql_marts"] = sql(
-    "\nUNION ALL ".join(
-        [
-            *[
-                f"""SELECT '{t}' AS "table", 'schema' AS "check", 'pass' AS status"""
-                for t in V.SQL_MART_SCHEMAS
-            ],
-            *[f'SELECT "table", "check", status FROM ({ranges(t, s)})' for t, s in RANGES.items()],
-            *[f'SELECT "table", "check", status FROM ({freshness(t, s)})' for t, s in FRESH.items()],
-        ]
+    rounded(
+        "\nUNION ALL ".join(
+            [
+                *[
+                    f"""SELECT '{t}' AS "table", 'schema' AS "check", 'pass' AS status, {_NOTHING}, NULL::DOUBLE AS seen_min,
+                    NULL::DOUBLE AS seen_max, NULL::DOUBLE AS expected_min, NULL::DOUBLE AS expected_max"""
+                    for t in V.SQL_MART_SCHEMAS
+                ],
+                *[f'SELECT "table", "check", status, {_NOTHING}, min, max, expected_min, expected_max FROM ({ranges(t, s)})' for t, s in RANGES.items()],
+                *[
+                    f'SELECT "table", "check", status, {_NOTHING}, NULL, CAST(age_days AS DOUBLE), NULL, CAST(max_age_days AS DOUBLE) FROM ({freshness(t, s)})'
+                    for t, s in FRESH.items()
+                ],
+            ]
+        ),
+        ["seen_min", "seen_max"],
     )
 )
+ORACLES["saved_sql_mart"] = ORACLES["dim_environment_metric"]
+ORACLES["built_fact"] = ORACLES["fact_day"]
+ORACLES["built_fact_report"] = ORACLES["quality_mart_suite"]
+ORACLES["analyzed_fact"] = ORACLES["quality_analyze_suite"]
+ORACLES["ingested_feeds"] = ORACLES["feed_rows"]
 
 
 def unique_key(keys: str, source: str) -> str:
@@ -691,12 +723,14 @@ ORACLES["cube_rain_status"] = sql(
 FROM (SELECT {RAIN_CASE.format('rain_24h_mm')} AS rainfall, beach_status FROM fact)
 GROUP BY CUBE (rainfall, beach_status)"""
 )
+_freedom = "((a + b) * (a + b) / (a * a / (n_yes - 1) + b * b / (n_no - 1)))"
+STUDENT = " + ".join(f"{t!r} / {_freedom} ** {i}" for i, t in enumerate(STUDENT_TERMS))
 ORACLES["difference_wet_dry"] = sql(
     rounded(
-        """SELECT n_yes, n_no, mean_yes, mean_no, mean_yes - mean_no AS difference, sqrt(a + b) AS std_error,
+        f"""SELECT n_yes, n_no, mean_yes, mean_no, mean_yes - mean_no AS difference, sqrt(a + b) AS std_error,
         (a + b) * (a + b) / (a * a / (n_yes - 1) + b * b / (n_no - 1)) AS freedom,
-        mean_yes - mean_no - 1.959963984540054 * sqrt(a + b) AS lower_ci,
-        mean_yes - mean_no + 1.959963984540054 * sqrt(a + b) AS upper_ci
+        mean_yes - mean_no - ({STUDENT}) * sqrt(a + b) AS lower_ci,
+        mean_yes - mean_no + ({STUDENT}) * sqrt(a + b) AS upper_ci
         FROM (SELECT count(steps) FILTER (WHERE after_rain) AS n_yes, count(steps) FILTER (WHERE NOT after_rain) AS n_no,
               avg(steps) FILTER (WHERE after_rain) AS mean_yes, avg(steps) FILTER (WHERE NOT after_rain) AS mean_no,
               var_samp(steps) FILTER (WHERE after_rain) / count(steps) FILTER (WHERE after_rain) AS a,
@@ -843,7 +877,14 @@ add_scaled_fit("ols", "model_rows")
 ORACLES["model_coefficients"] = sql(terms_of("ols"))
 CTES["scored"] = f"""
 SELECT e.date, e.weekday, e.mood_1_5, {DOT.format('b.beta', X_LIST)} AS prediction FROM ols_encoded e, ols_beta b"""
-ORACLES["predictions"] = sql(rounded("SELECT * FROM scored", ["mood_1_5", "prediction"], 6))
+CTES["all_days"] = CTES["model_rows"].replace("mood_1_5 IS NOT NULL AND weekday IS NOT NULL AND", "weekday IS NOT NULL AND")
+_point = "ols_coef.intercept + " + " + ".join(f"ols_coef.{c} * d.{c}" for c in MODEL_COLUMNS)
+ORACLES["predictions"] = sql(
+    rounded(f"SELECT d.date, d.weekday, d.mood_1_5, {_point} AS prediction FROM all_days d, ols_coef", ["mood_1_5", "prediction"], 6)
+)
+ORACLES["unusable_days"] = sql(
+    "SELECT (SELECT count(*) FROM fact) AS rows, (SELECT count(*) FROM fact) - (SELECT count(*) FROM model_rows) AS dropped"
+)
 
 CTES["numbered"] = f"""
 SELECT *, row_number() OVER (ORDER BY md5('{SEED}|' || date), date) - 1 AS position, count(*) OVER () AS total
@@ -979,6 +1020,16 @@ ORACLES["bootstrap_mean_ci"] = sql(
         ["lower_ci", "upper_ci"],
     )
 )
+CTES["mood_poisson"] = poisson("mood_numbered", 200)
+CTES["mood_poisson_means"] = """
+SELECT rep, sum(mood_1_5 * weight) / sum(weight) AS mean FROM mood_poisson JOIN mood_numbered USING (date) GROUP BY rep"""
+ORACLES["bootstrap_mean_ci_poisson"] = sql(
+    rounded(
+        """SELECT count(*) AS replicates, quantile_cont(mean, 0.025) AS lower_ci, quantile_cont(mean, 0.975) AS upper_ci
+        FROM mood_poisson_means""",
+        ["lower_ci", "upper_ci"],
+    )
+)
 CTES["draws_all"] = draws("numbered", V.BOOTSTRAP_REPLICATES)
 CTES["poisson_all"] = poisson("model_rows", V.BOOTSTRAP_REPLICATES)
 CTES["drawn_rows"] = """
@@ -996,9 +1047,34 @@ SELECT s.date, s.weekday, s.mood_1_5, s.prediction, i.lower_ci, i.upper_ci FROM
 
 
 INTERVAL_DOUBLES = ["mood_1_5", "prediction", "lower_ci", "upper_ci"]
-ORACLES["bootstrap_intervals"] = sql(rounded(intervals("drawn_beta"), INTERVAL_DOUBLES, 6))
+ORACLES["bootstrap_intervals_multinomial"] = sql(rounded(intervals("drawn_beta"), INTERVAL_DOUBLES, 6))
 ORACLES["bootstrap_intervals_poisson"] = sql(rounded(intervals("weighted_beta"), INTERVAL_DOUBLES, 6))
-ORACLES["recent_days"] = sql(rounded(intervals("drawn_beta") + " ORDER BY s.date DESC LIMIT 7", INTERVAL_DOUBLES, 6))
+ORACLES["bootstrap_intervals"] = ORACLES["bootstrap_intervals_poisson"]
+# The last days of the mart, whether or not they can be scored.
+CTES["last_days"] = (
+    "SELECT date, weekday, mood_1_5, "
+    + ", ".join(f"CAST(weekday = '{d}' AS DOUBLE) AS is_{d.lower()}" for d in V.WEEKDAYS)
+    + ", "
+    + ", ".join(f"({x} - m_{c}) / s_{c} AS {c}" for c, x in NUMERIC.items())
+    + " FROM (SELECT * FROM fact ORDER BY date DESC LIMIT 7), ols_stats"
+)
+
+
+def sum_of_terms(beta: str) -> str:
+    """As the product of lists, but null where a feature is."""
+    return f"{beta}[1] + " + " + ".join(f"{beta}[{i + 2}] * e.{c}" for i, c in enumerate(FULL_RANK))
+
+
+ORACLES["recent_days"] = sql(
+    rounded(
+        f"""SELECT e.date, e.weekday, e.mood_1_5, {sum_of_terms('o.beta')} AS prediction, i.lower_ci, i.upper_ci
+        FROM last_days e CROSS JOIN ols_beta o LEFT JOIN (
+            SELECT date, quantile_cont(p, 0.025) AS lower_ci, quantile_cont(p, 0.975) AS upper_ci
+            FROM (SELECT e.date, {sum_of_terms('b.beta')} AS p FROM last_days e, weighted_beta b) GROUP BY date) i ON i.date = e.date""",
+        INTERVAL_DOUBLES,
+        6,
+    )
+)
 
 # ---- scenarios ----------------------------------------------------------------------------------
 
@@ -1008,7 +1084,7 @@ CTES["start_row"] = (
     + ", (SELECT weekday FROM fact GROUP BY weekday ORDER BY count(*) DESC, weekday LIMIT 1) AS weekday FROM fact"
 )
 SCENARIO_NAMES = ", ".join(V.SCENARIO_COLUMNS)
-_values = ", ".join("('" + r[0] + "', '" + r[0] + "', " + ", ".join(map(str, r[1:])) + ")" for r in V.SCENARIOS)
+_values = ", ".join("('" + r[0] + "', '" + V.SCENARIO_TEXTS[r[0]] + "', " + ", ".join(map(str, r[1:])) + ")" for r in V.SCENARIOS)
 CTES["scenario_table"] = f"SELECT * FROM (VALUES {_values}) AS t({SCENARIO_NAMES})"
 CTES["custom_table"] = f"SELECT * FROM (VALUES ('Custom', 'Custom', -30.0, 0.3, 0.0, 0.0, 5000.0, 0.0, 0.0)) AS t({SCENARIO_NAMES})"
 
@@ -1070,11 +1146,13 @@ CTES["nudged_rows"] = (
     + ", ".join(f"{nudged(c)} AS {c}" for c in V.NUMERIC_FEATURES)
     + f" FROM (VALUES {_moves}) AS t(feature, delta), start_row s"
 )
+CTES["half_day"] = CTES["start_row"].replace("FROM fact", "FROM train_rows")
+CTES["half_nudged"] = CTES["nudged_rows"].replace("start_row s", "half_day s")
 ORACLES["sensitivity_inputs"] = sql(rounded("SELECT * FROM nudged_rows", ["delta", *V.NUMERIC_FEATURES]))
 ORACLES["sensitivity"] = sql(
     rounded(
         f"""SELECT r.feature, r.delta, {score('r')} AS prediction, ({score('r')}) - ({score('s')}) AS change_vs_baseline
-        FROM nudged_rows r, start_row s, ols_coef c""",
+        FROM half_nudged r, half_day s, half_coef c""",
         ["delta", "prediction", "change_vs_baseline"],
         6,
     )
@@ -1085,11 +1163,11 @@ ORACLES["sensitivity"] = sql(
 CTES["local_reports"] = f"SELECT {local('ts')} AS local_ts, route, delay_s FROM f_reports"
 ORACLES["stream_delay_day"] = sql(
     rounded(
-        f"""SELECT {DATE_TEXT}, route, report_count, late_count, mean_delay_s FROM (
+        f"""SELECT {DATE_TEXT}, route, report_count, late_count, mean_delay_s,
+        d.date + INTERVAL 1 DAY <= (SELECT max(local_ts) - INTERVAL 2 HOURS FROM local_reports) AS is_final FROM (
         SELECT CAST(local_ts AS DATE) AS date, route, count(*) AS report_count,
                count(*) FILTER (WHERE delay_s > 60) AS late_count, avg(delay_s) AS mean_delay_s
-        FROM local_reports GROUP BY ALL) AS d
-        WHERE d.date + INTERVAL 1 DAY <= (SELECT max(local_ts) - INTERVAL 2 HOURS FROM local_reports)""",
+        FROM local_reports GROUP BY ALL) AS d""",
         ["mean_delay_s"],
     )
 )

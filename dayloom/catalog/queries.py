@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from dayloom import fixed_values as V
 from dayloom.functions import scalars as S
 from dayloom.functions.conform import conform, require_columns
+from dayloom.functions.conform import refused_rows as refused
 from dayloom.operators import bootstrap as B
 from dayloom.operators import cleaning, features, inference, joins, profile, quality, ranking, scenarios
 from dayloom.operators import regression as R
@@ -302,9 +303,9 @@ def observation_bands(spark, folder):
 
 @query
 def encoded_filters(spark, folder):
-    """T15"""
-    rows = records.filter_records(tf.table(spark, folder, "orders"), {"o_orderstatus": "F"})
-    encoded = records.filter_text(rows, {"o_orderstatus": "F", "o_orderpriority": "1-URGENT"})
+    """The filters applied, as text"""
+    filters = {"o_orderstatus": "F", "o_orderpriority": "1-URGENT"}
+    encoded = records.filter_text(records.filter_records(tf.table(spark, folder, "orders"), filters), filters)
     return tidy(encoded.groupBy("filters").agg(F.count("*").alias("n")))
 
 
@@ -356,19 +357,47 @@ def record_pages(spark, folder):
     return tidy(records.read_record_pages(spark, path, orders.schema))
 
 
+@query
+def record_page_totals(spark, folder):
+    """Rows read from pages against the total they state"""
+    orders = tf.table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    total = orders.agg(F.count("*").alias("total"))
+    records_of = orders.groupBy(F.floor(F.col("o_orderkey") / 1000).alias("page")).agg(F.collect_list(F.struct("*")).alias("records"))
+    path = scratch_path(spark, "pages")
+    records_of.join(F.broadcast(total)).select(F.struct("records", "total").alias("result")).write.json(path)
+    return tidy(records.record_page_totals(spark, path, orders.schema))
+
+
+@query
+def refused_rows(spark, folder):
+    """Values of a feed landed as text that do not convert, counted instead of lost"""
+    trips = tf.commute_trips(spark, folder).drop("entity_id")
+    odd = F.col("trip_minutes") % 7 == 0
+    texts = trips.select(
+        "trip_id", "primary_mode",
+        F.when(odd, F.lit("not a time")).otherwise(F.date_format("trip_start_ts", "yyyy-MM-dd HH:mm:ss")).alias("trip_start_ts"),
+        F.when(F.col("trip_minutes") % 5 == 0, F.lit("n/a")).otherwise(F.col("trip_minutes").cast("string")).alias("trip_minutes"),
+        F.col("fare_amount").cast("string").alias("fare_amount"), "delay_seconds",
+    )
+    return tidy(refused(texts, "commute_trips"))
+
+
 @query
 def payload_files(spark, folder):
-    """The table files as payloads, without loading their bytes"""
-    files = records.read_payloads(spark, folder, "*.parquet", with_content=False)
-    return tidy(files.select("feed_code", "size_bytes"))
+    """One payload file per supplier nation, read back with its bytes"""
+    rows = tf.table(spark, folder, "supplier").where("s_nationkey IS NOT NULL")
+    lines = rows.groupBy("s_nationkey").agg(F.array_join(F.sort_array(F.collect_list(F.col("s_suppkey").cast("string"))), ",").alias("value"))
+    path = scratch_path(spark, "payloads")
+    lines.repartition("s_nationkey").write.partitionBy("s_nationkey").text(path)
+    files = records.read_payloads(spark, path, "*.txt")
+    return tidy(files.select("size_bytes", F.sha2("content", 256).alias("sha256")))
 
 
 @query
 def feed_views(spark, folder):
     """Views over landed feeds, queried with SQL text"""
     path = scratch_path(spark, "raw")
-    feeds = {name: feed for name, feed in _feeds(spark, folder).items() if name == "weather"}
-    datasets.land_feeds(feeds, path, AS_OF)
+    datasets.land_feeds(_feeds(spark, folder), path, AS_OF)
     datasets.register_feed_views(spark, path)
     return tidy(
         spark.sql(
@@ -396,9 +425,9 @@ def landed_twice(spark, folder):
 def landed_pruned(spark, folder):
     """S1 with partition pruning: only the later landing is read"""
     path = scratch_path(spark, "raw")
-    feed = {"personal": tf.personal(spark, folder).drop("entity_id")}
-    for day in (date(2001, 11, 9), AS_OF):
-        datasets.land_feeds(feed, path, day)
+    feed = tf.personal(spark, folder).drop("entity_id")
+    datasets.land_feeds({"personal": feed.withColumn("steps", F.col("steps") + 1)}, path, date(2001, 11, 9))
+    datasets.land_feeds({"personal": feed}, path, AS_OF)
     return tidy(staging.stg_personal_day(datasets.read_feed(spark, path, "personal", first_ingest=AS_OF)))
 
 
@@ -595,8 +624,61 @@ def quality_freshness(spark, folder):
 
 @query
 def quality_sql_marts(spark, folder):
-    """Q4-Q6 over all SQL marts"""
-    return tidy(quality.sql_mart_report(runs.sql_marts(_feeds(spark, folder)), AS_OF))
+    """Q4-Q6 over all SQL marts as they were saved"""
+    raw, out = scratch_path(spark, "raw"), scratch_path(spark, "marts")
+    datasets.land_feeds(_feeds(spark, folder), raw, AS_OF)
+    return tidy(runs.build_sql_marts(spark, raw, out, AS_OF, "record"))
+
+
+@query
+def saved_sql_mart(spark, folder):
+    """K6: the four models in order; the environment dimension as it was saved"""
+    raw, out = scratch_path(spark, "raw"), scratch_path(spark, "marts")
+    datasets.land_feeds(_feeds(spark, folder), raw, AS_OF)
+    runs.build_sql_marts(spark, raw, out, AS_OF, "record")
+    saved = spark.read.parquet(f"{out}/dim_environment_metric")
+    return tidy(saved.withColumn("is_swimmable", F.col("is_swimmable").cast("string")))
+
+
+@query
+def built_fact(spark, folder):
+    """The mart of a whole run over landed feeds, one of which lacks its optional columns"""
+    raw, out = scratch_path(spark, "raw"), scratch_path(spark, "marts")
+    datasets.land_feeds(_feeds(spark, folder), raw, AS_OF)
+    runs.build_fact(spark, raw, out)
+    return tidy(spark.read.parquet(f"{out}/fact_day"))
+
+
+@query
+def built_fact_report(spark, folder):
+    """The checks of a whole run"""
+    raw, out = scratch_path(spark, "raw"), scratch_path(spark, "marts")
+    datasets.land_feeds(_feeds(spark, folder), raw, AS_OF)
+    return tidy(runs.build_fact(spark, raw, out))
+
+
+@query
+def analyzed_fact(spark, folder):
+    """Checks of a saved mart"""
+    path = scratch_path(spark, "fact")
+    datasets.write_mart(_fact(spark, folder), path)
+    return tidy(runs.analyze(spark, path))
+
+
+@query
+def ingested_feeds(spark, folder):
+    """All feeds landed, a live feed without rows leaving its counterpart in place"""
+    feeds = _feeds(spark, folder)
+    _, report = runs.ingest(feeds, {"weather": feeds["weather"].limit(0)}, scratch_path(spark, "raw"), AS_OF)
+    return tidy(report)
+
+
+@query
+def absent_columns(spark, folder):
+    """A landed feed without its optional columns reads as null in them"""
+    path = scratch_path(spark, "raw")
+    datasets.land(tf.weather(spark, folder).select("observation_ts", "rain_mm"), path, "weather", AS_OF)
+    return tidy(staging.weather_days(datasets.read_feed(spark, path, "weather")))
 
 
 @query
@@ -781,27 +863,34 @@ def encoded_features(spark, folder):
 @query
 def gram_matrix(spark, folder):
     """M2, sufficient statistics"""
-    return tidy(R.gram_matrix(_analysis(spark, folder), R.Design()), MODEL_DIGITS)
+    return tidy(R.gram_matrix(_analysis(spark, folder), R.Design(), "drop"), MODEL_DIGITS)
 
 
 @query
 def model_coefficients(spark, folder):
     """M2"""
-    return tidy(R.coefficient_table(spark, R.fit_linear(_analysis(spark, folder))), MODEL_DIGITS)
+    return tidy(R.coefficient_table(spark, R.fit_linear(_analysis(spark, folder), on_null="drop")), MODEL_DIGITS)
 
 
 @query
 def predictions(spark, folder):
     """M3"""
     fact = _analysis(spark, folder)
-    rows = R.model_rows(fact, R.Design())
-    return tidy(R.fit_linear(fact).predict(rows).select("date", "weekday", "mood_1_5", "prediction"), MODEL_DIGITS)
+    rows = R.scorable_rows(fact, R.Design())
+    model = R.fit_linear(fact, on_null="drop")
+    return tidy(model.predict(rows).select("date", "weekday", "mood_1_5", "prediction"), MODEL_DIGITS)
+
+
+@query
+def unusable_days(spark, folder):
+    """M1: days a fit leaves out when it is told to drop missing values"""
+    return tidy(R.unusable_rows(_fact(spark, folder), R.Design()))
 
 
 @query
 def holdout_split(spark, folder):
     """M4, exact half"""
-    rows = R.model_rows(_fact(spark, folder), R.Design())
+    rows = R.model_rows(_fact(spark, folder), R.Design(), "drop")
     return tidy(R.split_holdout(rows, ["date"], SEED).select("date", "is_test"))
 
 
@@ -817,7 +906,7 @@ def holdout_split_by_hash(spark, folder):
 def holdout_metrics(spark, folder):
     """M5: fitted on one half, measured on the other"""
     path = scratch_path(spark, "split")
-    rows = R.model_rows(_analysis(spark, folder), R.Design())
+    rows = R.model_rows(_analysis(spark, folder), R.Design(), "drop")
     datasets.write_mart(R.split_holdout(rows, ["date"], SEED), path)
     split = spark.read.parquet(path)
     model = R.fit_linear(split.where(~F.col("is_test")))
@@ -833,14 +922,14 @@ def simple_regressions(spark, folder):
 @query
 def ols_with_controls(spark, folder):
     """Coefficients with standard errors"""
-    return tidy(R.ols_table(spark, _analysis(spark, folder), CONTROLS), MODEL_DIGITS)
+    return tidy(R.ols_table(spark, _analysis(spark, folder), CONTROLS, "drop"), MODEL_DIGITS)
 
 
 @query
 def robust_coefficients(spark, folder):
     """Refitted without outlier days"""
     fact = R.without_outlier_days(_analysis(spark, folder), ["commute_minutes", "steps"], 2.0)
-    return tidy(R.coefficient_table(spark, R.fit_linear(fact)), MODEL_DIGITS)
+    return tidy(R.coefficient_table(spark, R.fit_linear(fact, on_null="drop")), MODEL_DIGITS)
 
 
 @query
@@ -855,46 +944,63 @@ def logit_mode_switch(spark, folder):
 @query
 def bootstrap_weights(spark, folder):
     """M6: drawn rows per replicate"""
-    rows = R.model_rows(_fact(spark, folder), R.Design())
+    rows = R.model_rows(_fact(spark, folder), R.Design(), "drop")
     return tidy(B.weight_table(rows, ["date"], SEED, 20, "multinomial"))
 
 
 @query
 def bootstrap_weights_poisson(spark, folder):
     """M6: independent weights"""
-    rows = R.model_rows(_fact(spark, folder), R.Design())
+    rows = R.model_rows(_fact(spark, folder), R.Design(), "drop")
     return tidy(B.weight_table(rows, ["date"], SEED, 20, "poisson"))
 
 
 @query
 def bootstrap_mean_ci(spark, folder):
     """A18, M6 for a mean"""
-    means = B.bootstrap_means(_fact(spark, folder), V.TARGET, ["date"], SEED, 200)
+    means = B.bootstrap_means(_fact(spark, folder), V.TARGET, ["date"], SEED, 200, "multinomial")
     return tidy(B.percentile_interval(means, "mean"))
 
 
 def _intervals(spark, folder, method: str) -> DataFrame:
     return B.prediction_intervals(
-        _analysis(spark, folder), ["date"], seed=SEED, method=method, keep=["weekday"]
+        _analysis(spark, folder), ["date"], seed=SEED, method=method, keep=["weekday"], on_null="drop"
     )
 
 
+@query
+def bootstrap_mean_ci_poisson(spark, folder):
+    """A18, M6 for a mean, without a join"""
+    means = B.bootstrap_means(_fact(spark, folder), V.TARGET, ["date"], SEED, 200)
+    return tidy(B.percentile_interval(means, "mean"))
+
+
 @query
 def bootstrap_intervals(spark, folder):
-    """M6"""
-    return tidy(_intervals(spark, folder, "multinomial"), MODEL_DIGITS)
+    """M6, the default: independent weights"""
+    return tidy(_intervals(spark, folder, "poisson"), MODEL_DIGITS)
 
 
 @query
 def bootstrap_intervals_poisson(spark, folder):
-    """M6 without a join"""
+    """M6 without a join, by name"""
     return tidy(_intervals(spark, folder, "poisson"), MODEL_DIGITS)
 
 
+@query
+def bootstrap_intervals_multinomial(spark, folder):
+    """M6, n draws with replacement"""
+    return tidy(_intervals(spark, folder, "multinomial"), MODEL_DIGITS)
+
+
 @query
 def recent_days(spark, folder):
-    """M10, W3"""
-    return tidy(B.recent_days(_intervals(spark, folder, "multinomial")), MODEL_DIGITS)
+    """The last days of the mart, scored after they are chosen"""
+    fact = _analysis(spark, folder)
+    scored = B.prediction_intervals(
+        fact, ["date"], seed=SEED, keep=["weekday"], on_null="drop", score=B.last_days(fact)
+    )
+    return tidy(scored, MODEL_DIGITS)
 
 
 @query
@@ -911,7 +1017,7 @@ def scenario_predictions(spark, folder):
     """M8"""
     fact = _analysis(spark, folder)
     scored = scenarios.score_scenarios(
-        datasets.default_scenarios(spark), scenarios.baseline(fact), R.fit_linear(fact)
+        datasets.default_scenarios(spark), scenarios.baseline(fact), R.fit_linear(fact, on_null="drop")
     )
     return tidy(scored, MODEL_DIGITS)
 
@@ -921,7 +1027,7 @@ def custom_scenario(spark, folder):
     """M9"""
     fact = _analysis(spark, folder)
     row = scenarios.custom_scenario(spark, {"commute_minutes": -30.0, "reliability": 0.3, "steps": 5000.0})
-    return tidy(scenarios.score_scenarios(row, scenarios.baseline(fact), R.fit_linear(fact)), MODEL_DIGITS)
+    return tidy(scenarios.score_scenarios(row, scenarios.baseline(fact), R.fit_linear(fact, on_null="drop")), MODEL_DIGITS)
 
 
 @query
@@ -932,10 +1038,13 @@ def sensitivity_inputs(spark, folder):
 
 @query
 def sensitivity(spark, folder):
-    """M7"""
-    fact = _analysis(spark, folder)
-    start = scenarios.baseline(fact)
-    scored = scenarios.score_sensitivity(scenarios.sensitivity_inputs(spark, start), start, R.fit_linear(fact))
+    """M7: baseline and model of the training half"""
+    path = scratch_path(spark, "split")
+    rows = R.model_rows(_analysis(spark, folder), R.Design(), "drop")
+    datasets.write_mart(R.split_holdout(rows, ["date"], SEED), path)
+    half = spark.read.parquet(path).where(~F.col("is_test"))
+    start = scenarios.baseline(half)
+    scored = scenarios.score_sensitivity(scenarios.sensitivity_inputs(spark, start), start, R.fit_linear(half))
     return tidy(scored, MODEL_DIGITS)
 
 
@@ -956,8 +1065,8 @@ def _report_stream(spark, folder) -> DataFrame:
 
 @query
 def stream_delay_day(spark, folder):
-    """All days the watermark has closed"""
-    return tidy(delays.run_available(delays.daily_delays(_report_stream(spark, folder)), "delays"))
+    """Every day, with whether the watermark has closed it"""
+    return tidy(delays.run_days(_report_stream(spark, folder), "delays"))
 
 
 @query

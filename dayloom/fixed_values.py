@@ -276,6 +276,14 @@ SCENARIOS = [
     ("Big Presentation", 8.0, -0.05, 0.0, 0.0, -800.0, -0.8, 150.0),
     ("Restful Weekend", -5.0, 0.05, -2.0, -5.0, 1200.0, 0.7, -60.0),
 ]
+# Own texts.
+SCENARIO_TEXTS = {
+    "Baseline": "An average day, nothing changed",
+    "Rainy Commute": "Heavy rain slows the trip and keeps walks short",
+    "Clear Skies": "Dry, clean air and a quicker trip",
+    "Big Presentation": "Short night, more coffee, less walking",
+    "Restful Weekend": "Long sleep and a long walk",
+}
 SENSITIVITY_DELTAS = {
     "commute_minutes": [-20.0, 20.0],
     "reliability": [-0.2, 0.2],

@@ -9,10 +9,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+ROWS_AT_ONCE = 2048
+
 
 def moment_partials(replicates: int, columns: list[str], weights: str | None):
     """Per partition: weighted sums of products of ``[1, columns…]`` for every replicate.
@@ -21,39 +25,41 @@ def moment_partials(replicates: int, columns: list[str], weights: str | None):
     upper triangle, whatever the number of input rows.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         width = len(columns) + 1
         rows, cols = np.triu_indices(width)
         total = None
-        for batch in batches:
-            values = np.column_stack([np.ones(len(batch)), batch[columns].to_numpy(dtype="float64")])
-            products = values[:, rows] * values[:, cols]
-            if weights is None:
-                part = products.sum(axis=0, keepdims=True)
-            else:
-                part = _weight_matrix(batch[weights], replicates).T @ products
-            total = part if total is None else total + part
+        for whole in batches:
+            for start in range(0, whole.num_rows, ROWS_AT_ONCE):
+                batch = whole.slice(start, ROWS_AT_ONCE)
+                features = [batch.column(c).to_numpy(zero_copy_only=False).astype(np.float64) for c in columns]
+                values = np.column_stack([np.ones(batch.num_rows), *features])
+                products = values[:, rows] * values[:, cols]
+                if weights is None:
+                    part = products.sum(axis=0, keepdims=True)
+                else:
+                    part = _weight_matrix(batch.column(weights), replicates).T @ products
+                total = part if total is None else total + part
         if total is not None:
             slots = total.shape[1]
-            yield pd.DataFrame(
-                {
-                    "replicate": np.repeat(np.arange(replicates, dtype="int32"), slots),
-                    "slot": np.tile(np.arange(slots, dtype="int32"), replicates),
-                    "value": total.reshape(-1),
-                }
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.repeat(np.arange(replicates, dtype="int32"), slots)),
+                    pa.array(np.tile(np.arange(slots, dtype="int32"), replicates)),
+                    pa.array(total.reshape(-1)),
+                ],
+                names=["replicate", "slot", "value"],
             )
 
     return run
 
 
-def _weight_matrix(codes: pd.Series, replicates: int) -> np.ndarray:
-    matrix = np.zeros((len(codes), replicates))
-    lengths = np.array([0 if c is None else len(c) for c in codes])
-    if lengths.sum():
-        flat = np.concatenate([np.asarray(c, dtype="int64") for c in codes if c is not None and len(c)])
-        at = np.repeat(np.arange(len(codes)), lengths)
-        np.add.at(matrix, (at, flat >> 32), flat & 0xFFFFFFFF)
-    return matrix
+def _weight_matrix(codes: pa.Array, replicates: int) -> np.ndarray:
+    lengths = np.nan_to_num(pc.list_value_length(codes).to_numpy(zero_copy_only=False)).astype(np.int64)
+    flat = codes.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    at = np.repeat(np.arange(len(codes)), lengths) * replicates + (flat >> 32)
+    summed = np.bincount(at, weights=(flat & 0xFFFFFFFF).astype(np.float64), minlength=len(codes) * replicates)
+    return summed.reshape(len(codes), replicates)
 
 
 def solve_moments(columns: list[str], scaled: list[bool], rcond: float = 1e-10):

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,6 +35,10 @@ def rename_synonyms(
     return df.select(*[F.col(f"`{chosen[column]}`").alias(column) for column in required])
 
 
+def value_type(target: str) -> str:
+    return "timestamp_ntz" if target == "timestamp" else target
+
+
 def cast_or_null(df: DataFrame, column: str, target: str):
     """The column in its declared type; values that do not convert become null."""
     source = df.schema[column].dataType
@@ -48,19 +52,45 @@ def cast_or_null(df: DataFrame, column: str, target: str):
     return value.try_cast(target)
 
 
-def conform(df: DataFrame, feed: str, keep: Iterable[str] = ()) -> DataFrame:
+def refused(df: DataFrame, column: str, target: str) -> Column:
+    """Whether a value is there but does not convert to its declared type. NaN is a missing number, not a refused one."""
+    source = df.schema[column].dataType
+    there = F.col(f"`{column}`").isNotNull()
+    if isinstance(source, (T.DoubleType, T.FloatType)):
+        there = there & ~F.isnan(F.col(f"`{column}`"))
+    return there & cast_or_null(df, column, target).isNull()
+
+
+def refused_rows(df: DataFrame, feed: str) -> DataFrame:
+    """Per declared column how many values ``conform`` refuses: ``feed, column, rows, refused``."""
+    present = {name: kind for name, kind in FEED_SCHEMAS[feed].items() if name in df.columns}
+    counted = df.agg(F.count(F.lit(1)).alias("rows"), *[F.count_if(refused(df, c, kind)).alias(f"n.{c}") for c, kind in present.items()])
+    lines = [F.struct(F.lit(c).alias("column"), F.col(f"`n.{c}`").alias("refused")) for c in present]
+    return counted.select(F.lit(feed).alias("feed"), "rows", F.explode(F.array(*lines)).alias("line")).select(
+        "feed", "line.column", "rows", "line.refused"
+    )
+
+
+def conform(df: DataFrame, feed: str, keep: Iterable[str] = (), on_bad: str = "error") -> DataFrame:
     """A feed with its declared columns and types; absent columns are null.
 
-    Timestamps come out as zone-less UTC. ``keep`` names further columns, such as entity keys.
+    Timestamps come out as zone-less UTC. ``keep`` names further columns, such as entity keys. A value that does not convert
+    stops the job, naming its column; with ``on_bad="null"`` it counts as missing, and ``refused_rows`` tells how many did.
     """
+    if on_bad not in ("error", "null"):
+        raise ValueError("on_bad must be 'error' or 'null'")
     schema = FEED_SCHEMAS[feed]
     present = set(df.columns)
     columns = []
     for name, target in schema.items():
         if name in present:
-            columns.append(cast_or_null(df, name, target).alias(name))
+            value = cast_or_null(df, name, target)
+            if on_bad == "error" and isinstance(df.schema[name].dataType, T.StringType) and target != "string":
+                text = F.concat(F.lit(f"{feed}.{name} holds a value that is no {target}: "), F.col(f"`{name}`"))
+                value = F.when(refused(df, name, target), F.raise_error(text).cast(value_type(target))).otherwise(value)
+            columns.append(value.alias(name))
         else:
-            columns.append(F.lit(None).cast("timestamp_ntz" if target == "timestamp" else target).alias(name))
+            columns.append(F.lit(None).cast(value_type(target)).alias(name))
     return df.select(*[F.col(name) for name in keep], *columns)
 
 

@@ -41,7 +41,8 @@ def poisson_codes(key: Sequence[str], seed: int, replicates: int) -> Column:
         return reduce(lambda a, b: a + b, [(u >= step).cast("bigint") for step in POISSON_STEPS])
 
     coded = F.transform(words, lambda u, i: i.cast("bigint") * F.lit(2**32) + weight(u))
-    return F.slice(coded, 1, replicates)
+    # A weight of 0 says nothing; more than a third of them are.
+    return F.filter(F.slice(coded, 1, replicates), lambda c: c.bitwiseAND(F.lit(2**32 - 1)) > 0)
 
 
 def multinomial_codes(rows: DataFrame, key: Sequence[str], seed: int, replicates: int) -> DataFrame:
@@ -68,7 +69,8 @@ def multinomial_codes(rows: DataFrame, key: Sequence[str], seed: int, replicates
 def with_weights(
     rows: DataFrame, key: Sequence[str], seed: int, replicates: int, method: str
 ) -> DataFrame:
-    """``multinomial``: n draws with replacement. ``poisson``: independent weights, for very large tables."""
+    """``poisson``: independent weights from the row's key alone. ``multinomial``: n draws with replacement, which shuffles rows x
+    replicates and suits small tables."""
     if method == "multinomial":
         return multinomial_codes(rows, key, seed, replicates)
     if method == "poisson":
@@ -87,7 +89,7 @@ def weight_table(df: DataFrame, key: Sequence[str], seed: int, replicates: int,
 
 
 def bootstrap_means(
-    df: DataFrame, value: str, key: Sequence[str], seed: int, replicates: int, method: str = "multinomial"
+    df: DataFrame, value: str, key: Sequence[str], seed: int, replicates: int, method: str = "poisson"
 ) -> DataFrame:
     """Mean of ``value`` in each replicate."""
     rows = df.where(F.col(value).isNotNull())
@@ -113,11 +115,14 @@ def prediction_intervals(
     replicates: int = BOOTSTRAP_REPLICATES,
     alpha: float = INTERVAL_ALPHA,
     seed: int = 123,
-    method: str = "multinomial",
-    on_null: str = "drop",
+    method: str = "poisson",
+    on_null: str = "error",
     keep: Sequence[str] = (),
+    score: DataFrame | None = None,
 ) -> DataFrame:
-    """Point prediction of the full fit and a percentile interval over refits, for every usable row.
+    """Point prediction of the full fit and a percentile interval over refits, for every row fitted or, if given, of ``score``.
+
+    A scored row without a feature has neither prediction nor interval; its target may be missing.
 
     Fitting needs one pass: each partition adds up products for all replicates at once, and the full
     fit is one more replicate in which every row has weight 1. Scoring is a second, shuffle-free pass
@@ -132,7 +137,7 @@ def prediction_intervals(
     names = list(design.columns())
     intercepts = np.array([m.intercept for m in refits])
     slopes = np.array([[m.slopes[name] for name in names] for m in refits])
-    scored = encode(point.predict(rows), design).select(
+    scored = encode(point.predict(rows if score is None else score), design).select(
         *key, *keep, design.target, "prediction", *[f"x_{name}" for name in names]
     )
     out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in scored.schema.fields[: -len(names)])
@@ -142,6 +147,6 @@ def prediction_intervals(
     )
 
 
-def recent_days(intervals: DataFrame, days: int = 7) -> DataFrame:
-    """The last days of the table, newest first."""
-    return intervals.orderBy(F.col("date").desc()).limit(days)
+def last_days(df: DataFrame, days: int = 7) -> DataFrame:
+    """The last days of a table of one row a day, newest first."""
+    return df.orderBy(F.col("date").desc()).limit(days)

@@ -12,7 +12,7 @@ from dayloom.functions.scalars import strip_text
 def clean_air_quality(raw: DataFrame) -> DataFrame:
     """Declared names and types; rows need a time and both concentrations."""
     named = rename_synonyms(raw, list(FEED_SCHEMAS["air_quality"]), AIR_QUALITY_SYNONYMS)
-    return conform(named, "air_quality").dropna(subset=["observation_ts", "pm25", "pm10"])
+    return conform(named, "air_quality", on_bad="null").dropna(subset=["observation_ts", "pm25", "pm10"])
 
 
 def clean_beachwatch(raw: DataFrame) -> DataFrame:
@@ -21,6 +21,6 @@ def clean_beachwatch(raw: DataFrame) -> DataFrame:
     A missing status stays missing and is kept, as is a missing bacteria count.
     """
     named = rename_synonyms(raw, list(FEED_SCHEMAS["beachwatch"]), BEACHWATCH_SYNONYMS)
-    trimmed = conform(named, "beachwatch").withColumn("status", strip_text("status"))
+    trimmed = conform(named, "beachwatch", on_bad="null").withColumn("status", strip_text("status"))
     not_blank = F.col("status").isNull() | (F.length("status") > 0)
     return trimmed.where(F.col("observation_ts").isNotNull() & not_blank)

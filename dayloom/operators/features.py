@@ -37,7 +37,8 @@ def shifted_days(
 ) -> DataFrame:
     """Add values of earlier calendar days, and sums over the last calendar days, today included.
 
-    Input has one row per entity and day; the lag onto a day that does not exist is null. A window over a
+    Input has one row per entity and day; the lag onto a day that does not exist is null, and so are all features of a row
+    without a date. A window over a
     whole history would be one task per entity, or a single task without entities. So time is cut into
     stretches, and the last days of a stretch are also sent to the next one: one shuffle of little more
     than the input, and no window longer than a stretch.
@@ -51,18 +52,21 @@ def shifted_days(
     sent = numbered.withColumn("_own", own).withColumn(
         "_stretch", F.explode(F.when(near_end, F.array(own, own + 1)).otherwise(F.array(own)))
     )
-    history = Window.partitionBy(*entity_keys, "_stretch").orderBy("_day")
+    # Rows without a date have no neighbours: they stay, each alone, with null features.
+    alone = F.when(F.col("_day").isNull(), F.monotonically_increasing_id())
+    sent, dated = sent.withColumn("_alone", alone), F.col("_day").isNotNull()
+    history = Window.partitionBy(*entity_keys, "_stretch", "_alone").orderBy("_day")
     columns = [
-        F.max(name).over(history.rangeBetween(-k, -k)).alias(f"{name}_lag{k}")
+        F.when(dated, F.max(name).over(history.rangeBetween(-k, -k))).alias(f"{name}_lag{k}")
         for name, steps in lags.items()
         for k in steps
     ]
     columns += [
-        F.sum(name).over(history.rangeBetween(-(days - 1), 0)).alias(f"{name}_{days}d")
+        F.when(dated, F.sum(name).over(history.rangeBetween(-(days - 1), 0))).alias(f"{name}_{days}d")
         for name, days in trailing_sums.items()
     ]
-    shifted = sent.select("*", *columns).where(F.col("_stretch") == F.col("_own"))
-    return shifted.drop("_day", "_own", "_stretch")
+    shifted = sent.select("*", *columns).where(F.col("_stretch").eqNullSafe(F.col("_own")))
+    return shifted.drop("_day", "_own", "_stretch", "_alone")
 
 
 # Public holidays that fall on the same date every year (month-day).

@@ -45,19 +45,25 @@ def window_totals(
     measures: dict[str, Column],
     before_s: int,
     after_s: int,
+    parts: int = 64,
 ) -> DataFrame:
     """Sum event measures over ``[t - before_s, t + after_s)`` around each probe time ``t``.
 
     A range join would emit every (probe, event) pair. Here the sum is a difference of running totals.
     Time is cut into cells no shorter than the window, so a window touches at most two cells, and each
-    cell into 64 parts. Totals run within a part; a part learns what came before it in its cell from the
+    cell into ``parts`` (more of them where a cell holds very many distinct times). Totals run within a part; a part learns what came before it in its cell from the
     part totals. Events are first combined per key and microsecond and probes per key and time, so a hot
     key costs one row per distinct time, and no task sees more than one part of a cell. The combined rows
     are checkpointed once, as they feed both the running totals and the part totals. Times are zone-less
     timestamps. A probe without a time or key gets null measures.
     """
     shared_dir(events.sparkSession)
-    parts, names = 64, list(measures)
+    wanted = list(measures)
+    # A NaN would spoil every later running total, so sums leave NaN out and its occurrences are counted beside them.
+    measures = {n: F.nanvl(m.cast("double"), F.lit(0.0)) for n, m in measures.items()} | {
+        f"_nan_{n}": F.isnan(m.cast("double")).cast("double") for n, m in measures.items()
+    }
+    names = list(measures)
     part_us = -(-(before_s + after_s) * 1_000_000 // parts)
     keyed = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in on])
 
@@ -91,7 +97,7 @@ def window_totals(
         .withColumns({"_part": start_of(part_us), "_cell": start_of(part_us * parts)})
         .checkpoint()
     )
-    # At most 64 rows per key and cell.
+    # At most ``parts`` rows per key and cell.
     cell = Window.partitionBy(*on, "_cell")
     earlier = cell.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     sums = line.groupBy(*on, "_cell", "_part").agg(*[F.coalesce(F.sum(n), F.lit(0.0)).alias(n) for n in names])
@@ -117,4 +123,6 @@ def window_totals(
         return pick(False, upto) - pick(True, upto) + carried
 
     totals = running.join(starts, [*on, "_part"]).groupBy(*on, "_at").agg(*[total(n).alias(n) for n in names])
+    nan = F.lit(float("nan"))
+    totals = totals.select(*on, "_at", *[F.when(F.col(f"_nan_{n}") > 0.5, nan).otherwise(F.col(n)).alias(n) for n in wanted])
     return timed.join(totals, [*on, "_at"], "left").drop("_at")

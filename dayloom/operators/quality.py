@@ -34,10 +34,16 @@ def _listed(flags: Mapping[str, Column]) -> Column:
     return F.concat_ws(",", *[F.when(bad, F.lit(name)) for name, bad in flags.items()])
 
 
+def is_missing(column: str) -> Column:
+    """Null, or NaN in a floating column."""
+    value = F.col(column)
+    return value.isNull() | (F.typeof(value).isin("double", "float") & (value.cast("string") == "NaN"))
+
+
 def not_null(columns: Sequence[str], name: str = "not_null") -> Rule:
     return Rule(
         name,
-        {c: F.count_if(F.col(c).isNull()) for c in columns},
+        {c: F.count_if(is_missing(c)) for c in columns},
         lambda seen: _listed({c: seen[c] > 0 for c in columns}),
     )
 
@@ -56,10 +62,14 @@ def value_range(column: str, low: float | None, high: float | None) -> Rule:
 
 
 def boolean_domain(df: DataFrame, column: str) -> Rule:
-    if isinstance(df.schema[column].dataType, T.BooleanType):
+    """Booleans, or numbers that are 0 or 1; missing values pass, text never does."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.BooleanType):
         stray = F.lit(False)
+    elif isinstance(kind, T.NumericType):
+        stray = ~is_missing(column) & ~F.col(column).isin(0, 1)
     else:
-        stray = F.col(column).isNotNull() & F.col(column).cast("string").try_cast("boolean").isNull()
+        stray = F.col(column).isNotNull()
     return Rule(
         f"boolean_{column}", {"n": F.count_if(stray)}, lambda seen: _listed({column: seen["n"] > 0})
     )
@@ -73,7 +83,7 @@ def value_domain(column: str, allowed: Sequence[str]) -> Rule:
 def completeness(columns: Sequence[str], minimum: float = V.MIN_COMPLETENESS) -> Rule:
     return Rule(
         "completeness",
-        {c: F.avg(F.col(c).isNotNull().cast("double")) for c in columns},
+        {c: F.avg((~is_missing(c)).cast("double")) for c in columns},
         lambda seen: _listed({c: F.coalesce(seen[c] < minimum, F.lit(False)) for c in columns}),
     )
 
@@ -223,23 +233,38 @@ def freshness_report(
 
 
 def sql_mart_report(tables: Mapping[str, DataFrame], as_of: date | None = None) -> DataFrame:
-    """Schema, range and freshness checks of the SQL marts as ``(table, check, status)``.
+    """Schema, range and freshness checks of the SQL marts: ``table, check, status``, the columns that are ``missing`` or ``mismatched``
+    (with the type found), the values ``seen_min`` and ``seen_max`` and the bounds ``expected_min`` and ``expected_max``.
 
-    One aggregation per table answers all of its checks.
+    For freshness, ``seen_max`` and ``expected_max`` are ages in days. One aggregation per table answers all of its checks.
     """
     parts = []
     for name, df in tables.items():
         ranges = V.SQL_MART_RANGES.get(name, {})
-        statuses = {"schema": F.lit(FAIL if schema_problems(df, V.SQL_MART_SCHEMAS[name]) else PASS)}
-        statuses |= {f"range_{c}": _range_status(c, low, high) for c, (low, high) in ranges.items()}
+        problems = schema_problems(df, V.SQL_MART_SCHEMAS[name])
+        number = lambda value: F.lit(value).cast("double")
+        nothing = [number(None)] * 4
+        statuses = {"schema": (F.lit(FAIL if problems else PASS), nothing)}
+        statuses |= {
+            f"range_{c}": (_range_status(c, low, high), [F.col(f"`{c}.min`"), F.col(f"`{c}.max`"), number(low), number(high)])
+            for c, (low, high) in ranges.items()
+        }
         aggregates = [F.count(F.lit(1)).alias("rows"), *_extremes(list(ranges))]
         if name in V.SQL_MART_FRESHNESS_DAYS:
             aggregates.append(F.max("date").alias("max_value"))
-            statuses["freshness"] = _fresh_status(V.SQL_MART_FRESHNESS_DAYS[name], as_of)
+            most = V.SQL_MART_FRESHNESS_DAYS[name]
+            statuses["freshness"] = (_fresh_status(most, as_of), [number(None), _age_days(as_of).cast("double"), number(None), number(most)])
+        of_kind = lambda check, missing: ",".join(
+            c if missing else f"{c}:{found}" for c, found in problems.items() if check == "schema" and (found == "missing") == missing
+        )
         lines = [
-            F.struct(F.lit(name).alias("table"), F.lit(check).alias("check"), status.alias("status"))
-            for check, status in statuses.items()
-        ]
+            F.struct(
+                F.lit(name).alias("table"), F.lit(check).alias("check"), status.alias("status"),
+                F.lit(of_kind(check, True)).alias("missing"), F.lit(of_kind(check, False)).alias("mismatched"),
+                *[v.cast("double").alias(n) for n, v in zip(("seen_min", "seen_max", "expected_min", "expected_max"), seen, strict=True)],
+            )
+            for check, (status, seen) in statuses.items()
+        ]
         parts.append(df.agg(*aggregates).select(F.explode(F.array(*lines)).alias("line")).select("line.*"))
     return reduce(DataFrame.unionByName, parts)
 
@@ -262,7 +287,7 @@ def unique_key_report(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def completeness_report(df: DataFrame, columns: Sequence[str], minimum: float = V.MIN_COMPLETENESS) -> DataFrame:
     """Share of present values per column."""
-    one_row = df.agg(*[F.avg(F.col(c).isNotNull().cast("double")).alias(c) for c in columns])
+    one_row = df.agg(*[F.avg((~is_missing(c)).cast("double")).alias(c) for c in columns])
     lines = [
         F.struct(
             F.lit(c).alias("column"),

@@ -47,12 +47,20 @@ def column_mode(df: DataFrame, column: str, by: Sequence[str] = (), name: str |
     return counts.groupBy(*by).agg(arg_top(F.col(column), F.col("_n")).alias(name or column))
 
 
-def hash_numbering(df: DataFrame, key: Sequence[str], seed: int | str, prefix: int = 3) -> DataFrame:
+def hash_numbering(
+    df: DataFrame, key: Sequence[str], seed: int | str, prefix: int | None = None, part_rows: int = 100_000
+) -> DataFrame:
     """Add ``position`` (0, 1, … in hash order of the unique key) and ``total``.
 
     The hash prefix splits the rows into 16**prefix even parts. Each part is numbered by itself and
-    shifted by the sizes of the parts before it, so no task sees more than one part.
+    shifted by the sizes of the parts before it, so no task sees more than one part. Without a given ``prefix`` a count of the rows sets
+    it so that a part has about ``part_rows`` rows, 4,096 parts at least.
     """
+    if prefix is None:
+        prefix = 3
+        rows = df.count()
+        while 16**prefix * part_rows < rows:
+            prefix += 1
     hashed = df.withColumn("_hash", hash_text(seed, *[F.col(k) for k in key])).withColumn(
         "_part", F.substring("_hash", 1, prefix)
     )

@@ -43,8 +43,8 @@ class Design:
         return [*([self.weekday] if self.weekday else []), *self.numeric]
 
 
-def model_rows(df: DataFrame, design: Design, on_null: str = "drop") -> DataFrame:
-    """Rows a model can use. ``error`` stops the job at the first missing value, ``drop`` leaves it out."""
+def model_rows(df: DataFrame, design: Design, on_null: str = "error") -> DataFrame:
+    """Rows a model can use. ``error`` stops the job at the first missing value, ``drop`` leaves it out; ``unusable_rows`` counts those."""
     needed = [*design.inputs(), design.target]
     complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in needed])
     if on_null == "drop":
@@ -55,6 +55,17 @@ def model_rows(df: DataFrame, design: Design, on_null: str = "drop") -> DataFram
     raise ValueError("on_null must be 'drop' or 'error'")
 
 
+def unusable_rows(df: DataFrame, design: Design) -> DataFrame:
+    """``rows, dropped``: all rows, and those with a missing value in a model column."""
+    missing = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in [*design.inputs(), design.target]])
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.count_if(missing).alias("dropped"))
+
+
+def scorable_rows(df: DataFrame, design: Design) -> DataFrame:
+    """Rows with all features; the target may be missing."""
+    return df.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in design.inputs()]))
+
+
 @dataclass(frozen=True)
 class Scaling:
     """Mean and population deviation of the numeric features (1 where constant)."""
@@ -92,15 +103,15 @@ def moment_sums(
 ) -> DataFrame:
     """Sums of products of ``[1, columns…]`` per replicate, as ``(replicate, slot, value)``."""
     needed = [*columns, *([weights] if weights else [])]
-    partials = encoded.select(*needed).mapInPandas(
+    partials = encoded.select(*needed).mapInArrow(
         moment_partials(replicates, list(columns), weights), MOMENT_SCHEMA
     )
     return partials.groupBy("replicate", "slot").agg(F.sum("value").alias("value"))
 
 
-def gram_matrix(df: DataFrame, design: Design) -> DataFrame:
+def gram_matrix(df: DataFrame, design: Design, on_null: str = "error") -> DataFrame:
     """Standardised cross products of all model columns as ``(row_name, col_name, value)``, built in SQL."""
-    rows = model_rows(df, design)
+    rows = model_rows(df, design, on_null)
     encoded = encode(rows, design, fit_scaling(rows, design.numeric))
     names = list(design.columns())
     pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
@@ -162,7 +173,7 @@ def solve_replicates(
     return models
 
 
-def fit_linear(df: DataFrame, design: Design = Design(), on_null: str = "drop") -> LinearModel:
+def fit_linear(df: DataFrame, design: Design = Design(), on_null: str = "error") -> LinearModel:
     """Least-squares model; the minimum-norm one, as weekday dummies and intercept are collinear."""
     return solve_replicates(model_rows(df, design, on_null), design)[0]
 
@@ -173,9 +184,9 @@ def coefficient_table(spark, model: LinearModel) -> DataFrame:
     return spark.createDataFrame(rows, "term string, coefficient double")
 
 
-def ols_table(spark, df: DataFrame, design: Design) -> DataFrame:
+def ols_table(spark, df: DataFrame, design: Design, on_null: str = "error") -> DataFrame:
     """Coefficients with standard errors and t values, for a design of full rank."""
-    model = fit_linear(df, design)
+    model = fit_linear(df, design, on_null)
     free = model.n - len(model.slopes) - 1
     variance = model.residual_sum / free
     rows = []
@@ -207,11 +218,14 @@ def split_holdout(
 
 
 def regression_metrics(predicted: DataFrame, target: str = TARGET, prediction: str = "prediction") -> DataFrame:
-    """R squared and mean absolute error over the given predictions, in one pass."""
+    """R squared and mean absolute error over the given predictions, in one pass. Of a target that does not vary R squared is 1 where every
+    prediction is right, else 0."""
     y, error = F.col(target).cast("double"), F.col(target).cast("double") - F.col(prediction)
     return predicted.agg(
         F.count(F.lit(1)).alias("n"),
-        (1 - F.sum(error * error) / (F.var_pop(y) * F.count(y))).alias("r2"),
+        F.when(F.var_pop(y) == 0, F.when(F.sum(error * error) == 0, F.lit(1.0)).otherwise(F.lit(0.0)))
+        .otherwise(1 - F.try_divide(F.sum(error * error), F.var_pop(y) * F.count(y)))
+        .alias("r2"),
         F.avg(F.abs(error)).alias("mae"),
     )
 

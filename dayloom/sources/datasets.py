@@ -2,12 +2,14 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dayloom.fixed_values import FEED_SCHEMAS, LANDING_SOURCES, SCENARIO_COLUMNS, SCENARIOS
+from dayloom.fixed_values import FEED_SCHEMAS, LANDING_SOURCES, SCENARIO_COLUMNS, SCENARIO_TEXTS, SCENARIOS
 from dayloom.functions.conform import conform, empty_feed, require_columns
 from dayloom.functions.scalars import iso_date
 
@@ -48,7 +50,12 @@ def read_feed(
     reader = spark.read.schema(schema) if schema is not None else spark.read.option("mergeSchema", "true")
     if not by_date:
         reader = reader.option("recursiveFileLookup", "true")
-    raw = reader.parquet(path)
+    try:
+        raw = reader.parquet(path)
+    except PySparkException as error:
+        if "CANNOT_MERGE" not in str(error):
+            raise
+        raw = _read_by_schema(spark, path, feed, by_date)
     if first_ingest is not None:
         raw = raw.where(F.col("ingest_date") >= F.lit(first_ingest))
     if last_ingest is not None:
@@ -56,6 +63,23 @@ def read_feed(
     return conform(raw, feed, ["ingest_date"] if keep_ingest_date else [])
 
 
+def _read_by_schema(spark: SparkSession, path: str, feed: str, by_date: bool) -> DataFrame:
+    """Parts whose types differ, read in groups of one schema each and brought to the declared types.
+
+    Asked for only where the footers do not merge, as the driver looks at every part's footer.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(folder, True)
+    kinds: dict[str, list[str]] = {}
+    while found.hasNext():
+        name = found.next().getPath().toString()
+        if name.endswith(".parquet"):
+            kinds.setdefault(spark.read.parquet(name).schema.json(), []).append(name)
+    keep = ["ingest_date"] if by_date else []
+    groups = [conform(spark.read.option("basePath", path).parquet(*names), feed, keep) for names in kinds.values()]
+    return reduce(DataFrame.unionByName, groups)
+
+
 def register_feed_views(spark: SparkSession, base: str, prefix: str = "raw_") -> list[str]:
     """A temporary view per feed, empty where nothing landed."""
     names = []
@@ -89,7 +113,7 @@ def read_scenarios(spark: SparkSession, path: str) -> DataFrame:
 
 
 def default_scenarios(spark: SparkSession) -> DataFrame:
-    rows = [(name, name, *deltas) for name, *deltas in SCENARIOS]
+    rows = [(name, SCENARIO_TEXTS[name], *deltas) for name, *deltas in SCENARIOS]
     return spark.createDataFrame(rows, _SCENARIO_SCHEMA)
 
 
@@ -144,11 +168,15 @@ def write_by_month(df: DataFrame, path: str, day: str = "date") -> None:
 
 
 def feed_manifest(feeds: dict[str, tuple[DataFrame, str]]) -> DataFrame:
-    """One row per feed: rows and the first and last day seen. Input: name -> (feed, time column)."""
+    """One row per feed: rows and the first and last day seen. Input: name -> (feed, time column). A time that does not parse counts as a
+    row without a day."""
     parts = []
     for name, (feed, column) in feeds.items():
+        time = F.col(column)
+        if isinstance(feed.schema[column].dataType, T.StringType):
+            time = F.try_to_timestamp(time)
         parts.append(
-            feed.select(F.col(column).cast("date").alias("day")).agg(
+            feed.select(time.cast("date").alias("day")).agg(
                 F.lit(name).alias("dataset"),
                 F.count(F.lit(1)).alias("rows"),
                 F.min("day").alias("min_date"),

@@ -12,12 +12,34 @@ from pyspark.sql import types as T
 def read_record_pages(spark: SparkSession, path: str, record: T.StructType) -> DataFrame:
     """Landed response pages (``{"result": {"records": […], "total": n}}``) as one table of records.
 
-    Pages overlap only if the sender repeats them; no row is dropped. An empty folder is an empty table.
+    Pages overlap only if the sender repeats them; no row is dropped. An empty folder is an empty table. A file holds one page over any
+    number of lines, or one page a line; a page that does not parse stops the job. ``record_page_totals`` compares with the stated totals.
     """
+    return _pages(spark, path, record).select(F.explode("page.result.records").alias("r")).select("r.*")
+
+
+def record_page_totals(spark: SparkSession, path: str, record: T.StructType) -> DataFrame:
+    """``pages, rows, total, complete``: what was read against the largest total any page states. Without a stated total, or
+    without pages, nothing is missing."""
+    size = F.coalesce(F.array_size("page.result.records"), F.lit(0)).cast("bigint")
+    seen = _pages(spark, path, record).agg(
+        F.count(F.lit(1)).alias("pages"), F.coalesce(F.sum(size), F.lit(0)).alias("rows"), F.max("page.result.total").alias("total")
+    )
+    return seen.withColumn("complete", F.coalesce(F.col("rows") >= F.col("total"), F.lit(True)))
+
+
+def _pages(spark: SparkSession, path: str, record: T.StructType) -> DataFrame:
     result = T.StructType([T.StructField("records", T.ArrayType(record)), T.StructField("total", T.LongType())])
-    page = T.StructType([T.StructField("result", result)])
-    pages = spark.read.schema(page).option("recursiveFileLookup", "true").json(path)
-    return pages.select(F.explode("result.records").alias("r")).select("r.*")
+    page = T.StructType([T.StructField("result", result), T.StructField("_bad", T.StringType())])
+    files = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
+    lines = F.filter(F.split("value", "\r?\n"), lambda line: F.trim(line) != "")
+    by_line = F.forall(lines, lambda line: F.json_object_keys(line).isNotNull())
+    texts = F.when(by_line, lines).otherwise(F.array("value"))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
+    parsed = files.select(F.explode(texts).alias("value")).select("value", F.from_json("value", page, options).alias("page"))
+    broken = F.col("page").isNull() | F.col("page._bad").isNotNull() | F.json_object_keys("value").isNull()
+    text = F.concat(F.lit("a record page does not parse: "), F.substring("value", 1, 80))
+    return parsed.where(F.when(broken, F.raise_error(text).cast("boolean")).otherwise(F.lit(True))).select("page")
 
 
 def filter_records(records: DataFrame, filters: Mapping[str, object] | None = None) -> DataFrame:
@@ -34,7 +56,8 @@ def filter_text(records: DataFrame, filters: Mapping[str, str]) -> DataFrame:
 
 
 def read_payloads(spark: SparkSession, path: str, pattern: str = "*", with_content: bool = True) -> DataFrame:
-    """Binary payload files: code from the file name, time, size and, if asked for, the bytes."""
+    """Binary payload files: code from the file name, time, size and, if asked for, the bytes. Spark holds a payload in one value, so a
+    file may have at most 2 GB."""
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)

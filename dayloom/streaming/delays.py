@@ -3,10 +3,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from dayloom.fixed_values import LOCAL_ZONE
 from dayloom.functions.scalars import is_late
+from dayloom.operators.ranking import keep_first
 from dayloom.session import scratch_path
 
 
@@ -59,3 +61,29 @@ def run_available(stream: DataFrame, label: str) -> DataFrame:
     )
     query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(out)
+
+
+def run_days(reports: DataFrame, label: str, **options) -> DataFrame:
+    """Daily delays of everything that is there, open days included: ``is_final`` tells the days the watermark has closed.
+
+    The stream emits each change of a day; a batch writes its changes to a folder of its own, which it replaces when it is run again,
+    and the last change of a route and day counts.
+    """
+    spark = reports.sparkSession
+    out, state = scratch_path(spark, f"{label}-out"), scratch_path(spark, f"{label}-state")
+    days = daily_delays(reports, **options)
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    query = days.writeStream.foreachBatch(write).option("checkpointLocation", state).outputMode("update").trigger(availableNow=True).start()
+    query.awaitTermination()
+    marks = [p["eventTime"]["watermark"] for p in query.recentProgress if "watermark" in p.get("eventTime", {})]
+    closed = F.lit(max(marks)).try_cast("timestamp") if marks else F.lit(None).cast("timestamp")
+    kind = T.StructType([*days.schema.fields, T.StructField("batch", T.IntegerType())])
+    if not query.recentProgress:
+        return spark.createDataFrame([], days.schema).withColumn("is_final", F.lit(False))
+    written = spark.read.schema(kind).parquet(out)
+    last = keep_first(written, ["date", "route"], F.col("batch").desc()).drop("batch")
+    ends = (F.col("date") + F.expr("INTERVAL 1 DAY")).cast("timestamp")
+    return last.withColumn("is_final", F.coalesce(ends <= closed, F.lit(False)))
