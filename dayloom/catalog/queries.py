@@ -998,7 +998,7 @@ def recent_days(spark, folder):
     """The last days of the mart, scored after they are chosen"""
     fact = _analysis(spark, folder)
     scored = B.prediction_intervals(
-        fact, ["date"], seed=SEED, keep=["weekday"], on_null="drop", score=B.last_days(fact)
+        fact, ["date"], seed=SEED, keep=["weekday"], on_null="drop", score=B.recent_days(fact)
     )
     return tidy(scored, MODEL_DIGITS)
 

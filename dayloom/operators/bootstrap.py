@@ -147,6 +147,6 @@ def prediction_intervals(
     )
 
 
-def last_days(df: DataFrame, days: int = 7) -> DataFrame:
+def recent_days(df: DataFrame, days: int = 7) -> DataFrame:
     """The last days of a table of one row a day, newest first."""
     return df.orderBy(F.col("date").desc()).limit(days)

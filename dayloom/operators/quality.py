@@ -240,7 +240,7 @@ def sql_mart_report(tables: Mapping[str, DataFrame], as_of: date | None = None)
     """
     parts = []
     for name, df in tables.items():
-        ranges = V.SQL_MART_RANGES.get(name, {})
+        ranges = {c: r for c, r in V.SQL_MART_RANGES.get(name, {}).items() if c in df.columns}  # an absent column is a schema problem
         problems = schema_problems(df, V.SQL_MART_SCHEMAS[name])
         number = lambda value: F.lit(value).cast("double")
         nothing = [number(None)] * 4
@@ -251,9 +251,12 @@ def sql_mart_report(tables: Mapping[str, DataFrame], as_of: date | None = None)
         }
         aggregates = [F.count(F.lit(1)).alias("rows"), *_extremes(list(ranges))]
         if name in V.SQL_MART_FRESHNESS_DAYS:
-            aggregates.append(F.max("date").alias("max_value"))
             most = V.SQL_MART_FRESHNESS_DAYS[name]
-            statuses["freshness"] = (_fresh_status(most, as_of), [number(None), _age_days(as_of).cast("double"), number(None), number(most)])
+            status, age = F.lit(FAIL), number(None)  # without a date column nothing can be fresh
+            if "date" not in problems:
+                aggregates.append(F.max("date").alias("max_value"))
+                status, age = _fresh_status(most, as_of), _age_days(as_of).cast("double")
+            statuses["freshness"] = (status, [number(None), age, number(None), number(most)])
         of_kind = lambda check, missing: ",".join(
             c if missing else f"{c}:{found}" for c, found in problems.items() if check == "schema" and (found == "missing") == missing
         )

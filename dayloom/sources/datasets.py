@@ -4,6 +4,7 @@ from __future__ import annotations
 from datetime import date
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -52,7 +53,7 @@ def read_feed(
         reader = reader.option("recursiveFileLookup", "true")
     try:
         raw = reader.parquet(path)
-    except PySparkException as error:
+    except (PySparkException, Py4JJavaError) as error:
         if "CANNOT_MERGE" not in str(error):
             raise
         raw = _read_by_schema(spark, path, feed, by_date)

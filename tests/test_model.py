@@ -75,9 +75,9 @@ def test_missing_values(spark):
     rows = days(40)
     rows[3] = (*rows[3][:-1], None)
     df = frame(spark, rows)
-    assert R.model_rows(df, DESIGN).count() == 39
+    assert R.model_rows(df, DESIGN, "drop").count() == 39
     with pytest.raises(Exception, match="missing value in a model column"):
-        R.model_rows(df, DESIGN, "error").collect()
+        R.model_rows(df, DESIGN).collect()
     with pytest.raises(ValueError):
         R.model_rows(df, DESIGN, "ignore")
     with pytest.raises(ValueError, match="no rows"):
