@@ -243,13 +243,7 @@ ORACLES["stg_personal_entity_day"] = sql(
     rounded(f"SELECT * REPLACE ({DATE_TEXT}) FROM personal_entity_day", ["sleep_hours", "mood_1_5"])
 )
 ORACLES["fact_day"] = sql(rounded("SELECT * FROM fact", FACT_DOUBLES))
-ORACLES["fact_entity_day"] = sql(
-    rounded(
-        """SELECT entity_id, date, primary_mode, commute_minutes, reliability, cost_per_trip, pm25_mean, rain_24h_mm,
-        beach_status, beach_ok, steps, sleep_hours, mood_1_5 FROM entity_fact""",
-        ["commute_minutes", "reliability", "cost_per_trip", "pm25_mean", "rain_24h_mm", "sleep_hours", "mood_1_5"],
-    )
-)
+ORACLES["fact_entity_day"] = sql(rounded("SELECT * FROM entity_fact", FACT_DOUBLES))
 CTES["commute_mode_dim"] = """
 SELECT primary_mode, count(*) AS day_count, avg(commute_minutes) AS avg_minutes, avg(mean_delay_s) AS avg_delay_s,
        avg(CAST(late_trip_count AS DOUBLE) / nullif(total_trip_count, 0)) AS late_trip_rate

@@ -207,14 +207,11 @@ def fact_entity_day(spark, folder):
     env = staging.stg_env_day(
         tf.air_quality(spark, folder), tf.weather(spark, folder), tf.beachwatch(spark, folder)
     )
+    path = scratch_path(spark, "environment")
+    datasets.write_mart(env, path)
+    env = spark.read.parquet(path)
     personal = staging.stg_personal_day(tf.personal(spark, folder), ["entity_id"])
-    fact = marts.fact_day(_entity_days(spark, folder), env, personal, ["entity_id"])
-    return tidy(
-        fact.select(
-            "entity_id", "date", "primary_mode", "commute_minutes", "reliability", "cost_per_trip", "pm25_mean",
-            "rain_24h_mm", "beach_status", "beach_ok", "steps", "sleep_hours", "mood_1_5",
-        )
-    )
+    return tidy(marts.fact_day(_entity_days(spark, folder), env, personal, ["entity_id"], env.count()))
 
 
 @query

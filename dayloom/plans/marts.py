@@ -11,15 +11,25 @@ from dayloom.fixed_values import DEFAULT_MODE, FACT_DAY_COLUMNS
 from dayloom.functions import scalars as S
 
 
+BROADCAST_DAYS = 100_000  # days whose environment every executor can hold: some 10 MB
+
+
 def fact_day(
-    commute: DataFrame, environment: DataFrame, personal: DataFrame, entity_keys: Sequence[str] = ()
+    commute: DataFrame,
+    environment: DataFrame,
+    personal: DataFrame,
+    entity_keys: Sequence[str] = (),
+    environment_days: int | None = None,
 ) -> DataFrame:
     """One wide row per commute day (and entity). Commute days drive; other feeds fill in.
 
     Environment has no entity and joins on the day alone. The staging tables arrive grouped by their
     keys: the personal join reuses that partitioning, and at day grain the environment join does too.
-    Nothing is broadcast by hint; AQE may do so with a side it has measured, and splits hot days.
+    Given the counted number of ``environment_days``, up to ``BROADCAST_DAYS`` are sent to every executor, which spares the
+    entity-days a second shuffle; beyond, and without a count, the sides are shuffled, and AQE splits hot days.
     """
+    if environment_days is not None and environment_days <= BROADCAST_DAYS:
+        environment = F.broadcast(environment)
     joined = commute.join(personal, [*entity_keys, "date"], "left").join(environment, "date", "left")
 
     def filled(name: str):

@@ -9,15 +9,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-_SCHEMAS: dict[str, T.StructType] = {}
+_SCHEMAS: dict[tuple[str, str, int], T.StructType] = {}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table of the folder. Its schema is inferred once, not again for every feed built on it."""
+    """A table of the folder. Its schema is inferred once a session, not again for every feed built on it, and anew when the table changes."""
     path = f"{folder.rstrip('/')}/{name}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    changed = place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place).getModificationTime()
+    key = (spark.sparkContext.applicationId, path, changed)
+    if key not in _SCHEMAS:
+        _SCHEMAS[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[key]).parquet(path)
 
 
 def _hours(column: Column) -> Column:

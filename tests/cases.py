@@ -1,4 +1,5 @@
 """The shared golden case: raw feeds of two days and the fact rows they give."""
+# The feeds of two days and the rows they must give.
 TRIPS = [
     ("c1", "2024-12-31T20:00:00+00:00", "train", 40.0, 5.5, 240.0),
     ("c2", "2024-12-31T21:00:00+00:00", "train", 30.0, 5.0, 120.0),
