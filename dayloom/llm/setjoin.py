@@ -15,8 +15,9 @@ SPAN, LEAST = 5, 0.8
 RECALL = 1 - 1e-6  # of each pair of the least similarity, over all runs
 CHOSEN = 3  # tokens a set is expected to choose in one run
 SPLIT = 6  # tokens it is expected to choose where a large bucket is split
-LEAF = 256  # sets that are compared with each other in one group
-DENSE = 0.7  # mean part of a bucket that shares a member's token, from which splitting no longer parts it
+LEAF = 1024  # sets that are compared with each other in one group; a comparison of sketches is cheap, a split is not
+BLOCK = 1024  # sets of a bucket that is not split, that are compared with each other or with as many others in one group
+DENSE = 0.5  # mean similarity of a bucket's members to one of them, from which splitting no longer parts it
 COMMON = 0.9  # a token that this part of a bucket shares does not split it
 DEPTH = 5
 SKETCH = 64  # one byte of each of so many minima
@@ -118,43 +119,50 @@ def leaves(sets: DataFrame) -> DataFrame:
     """``leaf, key, size``: buckets of two sets and more that need no further split.
 
     A bucket of more than ``LEAF`` sets is split by the tokens its members chose, other than those nearly all share, unless its
-    members are alike on the whole or it has been split ``DEPTH`` times. Only counts decide; no bucket is gathered.
+    members are alike on the whole (by their sketches and that of one of them) or it has been split ``DEPTH`` times. Counts and
+    means decide; no bucket is gathered.
     """
     level = sets.select("key", F.explode("paths").alias("bucket"))
     done: list[DataFrame] = []
     for depth in range(DEPTH + 1):
-        level = keep(level.distinct(), f"level-{depth}")
         sizes = level.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-        sized = level.join(sizes, "bucket")
+        sized = keep(level.join(sizes, "bucket"), f"sized-{depth}")
         done.append(sized.where(F.col("size") <= LEAF))
-        large = keep(sized.where(F.col("size") > LEAF), f"large-{depth}")
+        large = sized.where(F.col("size") > LEAF)
         if large.isEmpty():
             break
         if depth == DEPTH:
             done.append(large)
             break
-        tokens = large.join(sets.select("key", "paths"), "key").select(
-            "bucket", "size", "key", F.size("paths").alias("chosen"), F.explode("paths").alias("token")
-        )
-        shared = tokens.groupBy("bucket", "token").agg(F.count("*").alias("n"), F.max("size").alias("size"))
-        shared = keep(shared, f"tokens-{depth}")
-        dense = shared.groupBy("bucket").agg((F.sum(F.col("n") * F.col("n")) / (F.sum("n") * F.max("size"))).alias("alike"))
-        dense = dense.where(F.col("alike") >= DENSE).select("bucket")
+        members = large.join(sets.select("key", "sketch"), "key")
+        pivots = members.groupBy("bucket").agg(F.min_by("sketch", F.xxhash64("bucket", "key")).alias("pivot"))
+        dense = members.join(pivots, "bucket").groupBy("bucket").agg(F.avg(_alike("sketch", "pivot")).alias("alike"))
+        dense = keep(dense.where(F.col("alike") >= DENSE).select("bucket"), f"dense-{depth}")
         done.append(large.join(dense, "bucket", "left_semi"))
-        parting = shared.where((F.col("n") > 1) & (F.col("n") < F.col("size") * COMMON)).join(dense, "bucket", "left_anti").select("bucket", "token")
-        fraction = F.pmod(F.xxhash64("bucket", "token"), F.lit(1 << 30)) / float(1 << 30)
-        level = tokens.where(fraction * F.col("chosen") < SPLIT).join(parting, ["bucket", "token"])
-        level = level.select("key", F.xxhash64(F.lit(3), "bucket", "token").alias("bucket"))
+        draw = lambda token: F.pmod(F.xxhash64("bucket", token), F.lit(1 << 30)) / float(1 << 30)
+        drawn = F.filter("paths", lambda token: draw(token) * F.size("paths") < SPLIT)
+        parted = large.join(dense, "bucket", "left_anti").join(sets.select("key", "paths"), "key")
+        tokens = keep(parted.select("bucket", "size", "key", F.explode(drawn).alias("token")), f"tokens-{depth}")
+        shared = tokens.groupBy("bucket", "token").agg(F.count("*").alias("n"), F.max("size").alias("size"))
+        parting = shared.where((F.col("n") > 1) & (F.col("n") < F.col("size") * COMMON)).select("bucket", "token")
+        level = tokens.join(parting, ["bucket", "token"])
+        level = keep(level.select("key", F.xxhash64(F.lit(3), "bucket", "token").alias("bucket")), f"level-{depth + 1}")
     out = done[0]
     for part in done[1:]:
         out = out.unionByName(part)
     return out.select(F.col("bucket").alias("leaf"), "key", "size")
 
 
+def _alike(a: str, b: str) -> Column:
+    """Part of the bytes of two sketches that are equal."""
+    same = lambda i: (F.substring(F.col(a), i, F.lit(1)) == F.substring(F.col(b), i, F.lit(1))).cast("int")
+    return F.aggregate(F.sequence(F.lit(1), F.lit(SKETCH)), F.lit(0), lambda n, i: n + same(i)) / SKETCH
+
+
 def _blocks(found: DataFrame) -> DataFrame:
-    """Every member with the groups it is compared in: one for a small leaf; a large leaf is cut into blocks of about ``LEAF``, and each two
+    """Every member with the groups it is compared in: one for a small leaf; a large leaf is cut into blocks of about ``BLOCK``, and each two
     blocks meet in one group."""
-    n = F.ceil(F.col("size") / LEAF).cast("int")
+    n = F.when(F.col("size") <= LEAF, F.lit(1)).otherwise(F.ceil(F.col("size") / BLOCK)).cast("int")
     block = F.pmod(F.xxhash64("key"), n).cast("int")
     rows = found.withColumn("side", block).withColumn("other", F.explode(F.sequence(F.lit(0), n - 1)))
     low, high = F.least("side", "other"), F.greatest("side", "other")

@@ -65,6 +65,7 @@ def test_given_documents(spark):
 
 def test_large_alike_groups_and_common_passages(spark, monkeypatch):
     monkeypatch.setattr(setjoin, "LEAF", 16)
+    monkeypatch.setattr(setjoin, "BLOCK", 16)
     made = random.Random(4)
     text = [f"w{made.randrange(300)}" for _ in range(150)]
     rows = [edited(text, made.randrange(6), made) for _ in range(180)]  # near copies on both sides of the bound
