@@ -14,7 +14,7 @@ from dayloom.llm.common import keep, text_or_empty
 LENGTH = 100  # bytes of a repeat
 TRIGGER = 32  # bytes of a trigger
 HOT = 50_000  # occurrences of a trigger beyond which its phrases are resolved by counts instead of in one group
-PIECE = 1 << 22  # bytes parsed at a time
+PIECE = 1 << 20  # bytes parsed at a time
 MEMBERS = 1 << 13  # phrases that are ordered together, unless one trigger has more
 BASE = 0x9E3779B97F4A7C15
 M1, M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -308,9 +308,9 @@ def _bodies(docs: DataFrame) -> DataFrame:
     return once.select("doc_id", place.alias("doc"), F.xxhash64("body").alias("tie"), "body", "copies")
 
 
-def _hot(bodies: DataFrame, counts: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _hot(bodies: DataFrame, often: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Stretches and phrases to compare of the triggers that occur too often for one group: as ``_classes``, by counting."""
-    rows = keep(phrase_table(bodies).join(counts.select("trigger"), "trigger"), "hot-phrases")
+    rows = keep(phrase_table(bodies).join(often, "trigger"), "hot-phrases")
     order = F.struct("doc", "tie", "at", "first", "last")
     classes = keep(rows.groupBy("trigger", "phrase").agg(F.min(order).alias("e")), "hot-classes")
     rows = rows.join(classes, ["trigger", "phrase"]).where(order != F.col("e"))
@@ -342,7 +342,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """
     bodies = _bodies(docs)
     counts = keep(phrase_table(bodies, "trigger").groupBy("trigger").agg(F.count("*").alias("n")).where("n > 1"), "triggers")
-    often = counts.where(F.col("n") > HOT)
+    often = keep(counts.where(F.col("n") > HOT).select("trigger"), "hot-triggers")  # few: Spark knows its size and need not move the phrases
     some_hot = not often.isEmpty()
     together = Window.partitionBy("trigger").orderBy("doc", "at")  # keeps a trigger in one partition
     rows = phrase_table(bodies).join(counts.where(F.col("n") <= HOT).select("trigger"), "trigger")
@@ -358,11 +358,11 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     surrounded = bodies.select("doc", "tie", "body").join(listed, ["doc", "tie"])
     schema = "trigger bigint, doc bigint, tie bigint, at bigint, first smallint, last smallint, bytes binary"
     surrounded = keep(surrounded.mapInArrow(_with_bytes, schema), "surroundings")
-    cold = surrounded.join(often.select("trigger"), "trigger", "left_anti") if some_hot else surrounded
+    cold = surrounded.join(often, "trigger", "left_anti") if some_hot else surrounded
     spans = cold.repartition("trigger").sortWithinPartitions("trigger").mapInArrow(_resolve, "doc bigint, tie bigint, start bigint, end bigint")
     stretches = [removed.select("doc", "tie", (F.col("at") - F.col("first")).alias("start"), (F.col("at") - F.col("last") + LENGTH).alias("end")), spans]
     if some_hot:
-        stretches.append(_hot_windows(surrounded.join(often.select("trigger"), "trigger", "left_semi")))
+        stretches.append(_hot_windows(surrounded.join(often, "trigger", "left_semi")))
     every = stretches[0]
     for part in stretches[1:]:
         every = every.unionByName(part)
