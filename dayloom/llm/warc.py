@@ -184,11 +184,13 @@ def record_kinds(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     order = F.struct(F.col("page_id").isNull().alias("a"), F.col("page_id").alias("id"), F.col("url").isNull().alias("b"), F.col("url").alias("url"), F.col("m"))
     equal = rows.where(F.octet_length(_payload()) >= least_bytes).groupBy("digest", "page_id", "url").agg(F.count("*").alias("m"))
     copied = equal.groupBy("digest").agg(F.min(order).alias("first"), F.sum("m").alias("n")).where("n > 1")
-    copied = copied.select(F.col("digest").alias("c_digest"), "first")
+    copied = keep(copied.select(F.col("digest").alias("c_digest"), "first"), "copied-payloads")
     same = F.col("first").isNotNull() & F.col("page_id").eqNullSafe(F.col("first.id")) & F.col("url").eqNullSafe(F.col("first.url"))
     met = rows.join(copied, F.col("digest") == F.col("c_digest"), "left")
     columns = ["page_id", "url", "html", "digest", "revisit", F.col("first.id").alias("refers_to")]
     once = met.where(~same | (F.col("first.m") == 1)).withColumn("revisit", F.col("first").isNotNull() & ~same).select(*columns)
+    if copied.where("first.m > 1").isEmpty():
+        return once
     tied = rows.join(copied.where("first.m > 1"), F.col("digest") == F.col("c_digest")).where(same)
     tied = tied.groupBy("digest", "page_id", "url").agg(F.any_value("html").alias("html"), F.any_value("first").alias("first"))
     tied = tied.withColumn("place", F.explode(F.sequence(F.lit(1), F.col("first.m")))).withColumn("revisit", F.col("place") > 1)
