@@ -15,7 +15,7 @@ from dayloom.llm.common import text_or_empty
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
-WORD_CACHE, PAIR_CACHE = 3 << 17, 1 << 20  # entries kept for each task; more are computed again
+WORD_CACHE, PAIR_CACHE = 3 << 17, 1 << 20  # entries kept for each task, of words twice as many; others are computed again
 DOCS_AT_ONCE = 256
 FREE, CLOSED = 0.0, float("inf")  # weights of the tropical semiring: path weights add, alternatives take the least
 
@@ -78,7 +78,6 @@ class Transducer:
         self.kinds = [k for _, _, k in pieces]
         self.scores = [s for _, s, _ in pieces]
         self.ids = {p: i for i, (p, _, k) in enumerate(pieces) if k in (NORMAL, USER)}
-        self.longest = max((len(p) for p in self.ids), default=1)
         self.bytes = {int(p[3:5], 16): i for i, (p, _, k) in enumerate(pieces) if k == BYTE}
         self.unknown = next(i for i, k in enumerate(self.kinds) if k == UNKNOWN)
         self.worst = min((self.scores[i] for i in self.ids.values()), default=0.0) - 10.0
@@ -89,14 +88,18 @@ class Transducer:
         self.joined = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
         inner = any(SPACE in p.lstrip(SPACE) for p in self.ids)
         self.cut = None if inner else re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-        self.prefixes: dict[str, int] = {}
+        # the pieces as a machine over characters: each state is its piece (-1: none) and its arcs
+        self.start: dict[str, list] = {}
         for piece, i in self.ids.items():
-            for end in range(1, len(piece)):
-                self.prefixes.setdefault(piece[:end], -1)
-            self.prefixes[piece] = i
+            arcs = self.start
+            for char in piece:
+                state = arcs.setdefault(char, [-1, {}])
+                arcs = state[1]
+            state[0] = i
         # pieces that merging their own characters gives; no other is ever made
         self.whole = [k in (NORMAL, USER) and self.kind == BPE and self.merged(p) == [p] for p, k in zip(self.pieces, self.kinds, strict=True)]
         self.words: dict[str, tuple[int, ...]] = {}
+        self.earlier: dict[str, tuple[int, ...]] = {}
         self.pairs: dict[int, bool] = {}
 
     def normalise(self, text: str) -> str:
@@ -134,14 +137,17 @@ class Transducer:
     def arcs(self, text: str, at: int) -> list[tuple[int, int]]:
         """Pieces of ``text`` that start at a place, with their ends, short ones first; the bytes of a character (-1) where no
         piece is that character."""
-        out, prefixes = [], self.prefixes
-        for end in range(at + 1, min(at + self.longest, len(text)) + 1):
-            found = prefixes.get(text[at:end])
-            if found is None:
+        out, arcs, size = [], self.start, len(text)
+        end = at
+        while end < size:
+            state = arcs.get(text[end])
+            if state is None:
                 break
-            if found >= 0:
-                out.append((end, found))
-        if text[at] not in self.ids:
+            end += 1
+            if state[0] >= 0:
+                out.append((end, state[0]))
+            arcs = state[1]
+        if not out or out[0][0] != at + 1:
             out.insert(0, (at + 1, -1))
         return out
 
@@ -214,11 +220,15 @@ class Transducer:
             found = known.get(word)
             if found is None:
                 found = self.segment(word)
+                known = self.words
             out.extend(found)
         return out
 
     def segment(self, word: str) -> tuple[int, ...]:
         """The pieces of a word, put together from those of its parts; it is parted where no piece holds the two characters."""
+        found = self.earlier.get(word)
+        if found is not None:  # words in use pass from one filling of the cache to the next
+            return self.remember(word, found)
         known, joined, cuts = self.words, self.joined, [0]
         for i in range(1, len(word)):
             if word[i - 1 : i + 1] not in joined:
@@ -228,16 +238,18 @@ class Transducer:
             part = word[start:end]
             own = known.get(part)
             if own is None:
-                own = self.shortest(part)
-                if len(part) <= 64:
-                    known[part] = own
+                own = self.earlier.get(part)
+                own = self.remember(part, self.shortest(part) if own is None else own)
+                known = self.words
             out.extend(own)
-        found = tuple(out)
-        if len(known) >= WORD_CACHE:
-            known.clear()
+        return self.remember(word, tuple(out)) if len(cuts) > 1 else own
+
+    def remember(self, word: str, ids: tuple[int, ...]) -> tuple[int, ...]:
+        if len(self.words) >= WORD_CACHE:
+            self.earlier, self.words = self.words, {}
         if len(word) <= 64:
-            known[word] = found
-        return found
+            self.words[word] = ids
+        return ids
 
     def decode(self, ids) -> str:
         """The text of the pieces; bytes that are no UTF-8 become replacement characters."""
