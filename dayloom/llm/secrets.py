@@ -17,12 +17,16 @@ WINDOW = 20
 UNIT = 1 << 20  # entropy sums are whole numbers of this fraction, so that adding and removing leaves no error
 # Least bits in a window, by the characters of the candidate; a class without a line is never reported.
 LEAST_BITS = {"hex": 3.0, "alphanumeric": 3.6, "symbols": 3.8}
+# Letters as words have them: one case, capitals that each start a run of small letters, or runs of at least three small letters among
+# abbreviations. Keys of mixed case are none of these. All quantifiers are possessive, so a long candidate neither backtracks nor recurses.
+LETTERS = r"(?:[A-Z]++(?![a-z])|[A-Z]?+[a-z]++(?:[A-Z][a-z]++)*+[A-Z]?+(?![A-Za-z])|[A-Z]*+(?:[a-z]{3,}+[A-Z]*+)++)"
 ALLOWED = [
-    r"^[A-Za-z_=+/-]*$",  # letters alone: words, paths, separators
+    rf"^[_=+/-]*+(?:{LETTERS}(?:[_=+/-]++|$))*+$",  # letters alone: words, paths, separators
     r"^[0-9_=+/-]*$",  # numbers, dates, rules
     r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",  # UUIDs
     r"(?i)example|sample|placeholder|xxxx|0123456789|abcdefgh",
-    r"^(/?[A-Za-z_-]+[0-9]{0,4})+(/[A-Za-z_-]*[0-9]{0,4})*/?$",  # paths and numbered words
+    # paths and numbered words: parts of letters, of three and more with one number behind, and numbers and versions
+    rf"^[/_-]*+(?:(?:(?=[A-Za-z]{{3}}){LETTERS}[0-9]{{0,4}}+|{LETTERS}|v?[0-9]{{1,4}}+)(?:[/_-]++|$))++$",
 ]
 
 
