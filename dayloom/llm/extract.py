@@ -23,6 +23,14 @@ HINTS = (
     "related replies respond share sharing sidebar sidenav skip social sponsor sponsored subscribe toolbar topbar widget widgets"
 ).split()
 ROLES = "navigation banner contentinfo complementary search form menu menubar dialog alertdialog".split()
+# Elements whose end may be left out, by kind; the kinds a start closes, and the elements around which hide a kind from it.
+ENDLESS = {"p": 0, "li": 1, "dt": 2, "dd": 2, "td": 3, "th": 3, "tr": 4, "thead": 5, "tbody": 5, "tfoot": 5, "option": 6}
+CLOSED_BY = {n: (0,) for n in BLOCKS if n not in "body html td th tr thead tbody tfoot option".split()} | {
+    "li": (0, 1), "dt": (0, 2), "dd": (0, 2), "td": (3,), "th": (3,), "tr": (3, 4), "thead": (3, 4, 5), "tbody": (3, 4, 5), "tfoot": (3, 4, 5), "option": (6,),
+}
+HIDES = {n: (1, 2) for n in BLOCKS if n not in "address div p li dt dd option".split()} | {
+    "li": (2,), "dd": (1,), "dt": (1,), "table": (0, 1, 2, 3, 4, 5), "td": (0, 1, 2), "th": (0, 1, 2), "button": (0, 1, 2),
+}
 WINDOW = 3  # lines whose lengths are summed
 SURGE = 80  # characters in a window that start a text block on pages that do not mark their article
 LINK_PART = 0.5  # a line with more of its characters in links counts as empty
@@ -54,13 +62,16 @@ def _is_boilerplate(name: str, attributes: str, in_article: bool) -> bool:
 def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
     """Lines of a page without markup: text, characters of it in links, whether inside an article, whether boilerplate.
 
-    A block element starts a line and its end ends it; other elements leave no trace. Elements left open close with
-    the element around them, an unread element without an end runs to the end of the page.
+    A block element starts a line and its end ends it; other elements leave no trace. Elements whose end may be left out close
+    where HTML says so, others left open with the element around them, however many are open; an unread element without an end runs to the end of the page.
     """
     lines: list[tuple[str, int, bool, bool]] = []
     parts: list[str] = []
     links = 0
-    open_: list[tuple[str, bool, bool]] = []  # element, whether it turns boilerplate on, whether it is the article
+    # element, whether it turns boilerplate on, whether it is the article, and per kind of ENDLESS where the one lies that may end here, or -1
+    open_: list[tuple[str, bool, bool, tuple[int, ...]]] = []
+    number: dict[str, int] = {}  # of open elements by name
+    none = (-1,) * (1 + max(ENDLESS.values()))
     skip = article = link = 0
 
     def close_line() -> None:
@@ -72,6 +83,26 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
             parts.clear()
         links = 0
 
+    def pop() -> str:
+        nonlocal skip, article, link
+        last, off, main, _ = open_[-1]
+        if off or main:
+            close_line()
+        open_.pop()
+        number[last] -= 1
+        skip, article, link = skip - off, article - main, link - (last == "a")
+        return last
+
+    def push(name: str, off: bool, main: bool) -> None:
+        nonlocal skip, article, link
+        near = open_[-1][3] if open_ else none
+        if name in HIDES or name in ENDLESS:
+            hidden, own = HIDES.get(name, ()), ENDLESS.get(name, -1)
+            near = tuple(len(open_) if k == own else -1 if k in hidden else i for k, i in enumerate(near))
+        open_.append((name, off, main, near))
+        number[name] = number.get(name, 0) + 1
+        skip, article, link = skip + off, article + main, link + (name == "a")
+
     at, size = 0, len(page)
     while at < size:
         tag = page.find("<", at)
@@ -106,23 +137,19 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
         if name in _void:
             continue
         if not found[1]:
-            if name == "p" and open_ and open_[-1][0] == "p":
-                open_.pop()
+            ends = [i for k in CLOSED_BY.get(name, ()) if open_ and (i := open_[-1][3][k]) >= 0]
+            popped = [pop() for _ in range(len(open_) - min(ends))] if ends else []
+            if "a" in popped and name not in ENDLESS:  # a link around a block goes on in it
+                push("a", False, False)
             starts = block or name in ("span", "a", "ins")
             off = starts and _is_boilerplate(name, found[3], article > 0)
             main = name in ("article", "main") and not off and not skip
             if off and not block:
                 close_line()
-            open_.append((name, off, main))
-            skip, article, link = skip + off, article + main, link + (name == "a")
-        elif any(o[0] == name for o in open_[-64:]):
-            while True:
-                last, off, main = open_.pop()
-                if off and last not in _blocks:
-                    close_line()
-                skip, article, link = skip - off, article - main, link - (last == "a")
-                if last == name:
-                    break
+            push(name, off, main)
+        elif number.get(name):
+            while pop() != name:
+                pass
     close_line()
     return lines
 

@@ -130,6 +130,20 @@ def test_other_page_shapes(page, text):
     assert extract.main_text(page) == text
 
 
+@pytest.mark.parametrize("page,text", [
+    (f"<nav><ul>{'<li>x' * 70}</ul></nav><article><p>Body</article>", "Body"),
+    (f"<footer><table>{'<tr><td>x<td>y' * 70}</table></footer><main>Body</main>", "Body"),
+    (f"<form><dl>{'<dt>x<dd>y' * 70}</form><p>{LONG}", LONG.strip()),
+    (f"<nav>{'<i>x' * 200}</nav><article>Body</article>", "Body"),
+    (f"<p class=advert>Ad<p>{LONG}", LONG.strip()), (f"<p class=advert><b>Ad<div>{LONG}</div>", LONG.strip()),
+    (f"<ul><li class=promo>Ad<li>{LONG}</ul>", LONG.strip()), (f"<ul><li class=promo>Ad<ul><li>no</ul>no<li>{LONG}</ul>", LONG.strip()),
+    (f"<table><tr><td class=advert>Ad<td>{LONG}<tr class=promo><td>no<tr><td>end</table>", LONG.strip() + "\nend"),
+    (f"<p><a href=1><div>{LONG}</div></a><p>{LONG[:90]}", LONG[:90].strip()),
+])
+def test_ends_that_are_left_out(page, text):
+    assert extract.main_text(page) == text
+
+
 # ---- pieces
 
 
