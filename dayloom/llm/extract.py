@@ -22,6 +22,7 @@ HINTS = (
     "footer gdpr masthead menu menubar modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted "
     "related replies respond share sharing sidebar sidenav skip social sponsor sponsored subscribe toolbar topbar widget widgets"
 ).split()
+BEFORE, AFTER = "has no with without".split(), "open closed enabled disabled free".split()  # say something of a page about a hint in their compound
 ROLES = "navigation banner contentinfo complementary search form menu menubar dialog alertdialog".split()
 # Elements whose end may be left out, by kind; the kinds a start closes, and the elements around which hide a kind from it.
 ENDLESS = {"p": 0, "li": 1, "dt": 2, "dd": 2, "td": 3, "th": 3, "tr": 4, "thead": 5, "tbody": 5, "tfoot": 5, "option": 6}
@@ -40,23 +41,34 @@ LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|$)", re.S)
 ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
 TOKENS = re.compile(r"[a-z]+|[A-Z][a-z]*")
 SPACES = re.compile(r"\s+")
-_unread, _boilerplate, _blocks, _void, _hints, _roles = map(frozenset, (UNREAD, BOILERPLATE, BLOCKS, VOID, HINTS, ROLES))
+_unread, _boilerplate, _blocks, _void, _hints, _roles, _before, _after = map(
+    frozenset, (UNREAD, BOILERPLATE, BLOCKS, VOID, HINTS, ROLES, BEFORE, AFTER)
+)
 
 
-def _is_boilerplate(name: str, attributes: str, in_article: bool) -> bool:
+PART, HINT = 1, 2  # an element that is boilerplate by itself, and one whose class or id hints at it
+
+
+def _hints_at(compound: str) -> bool:
+    tokens = [t.lower() for t in TOKENS.findall(compound)]
+    return any(t in _hints and not (set(tokens[:i]) & _before or set(tokens[i + 1 :]) & _after) for i, t in enumerate(tokens))
+
+
+def _boilerplate_kind(name: str, attributes: str, in_article: bool) -> int:
     if name in _boilerplate or name == "header" and not in_article:
-        return True
+        return PART
     if not attributes or name in ("html", "body", "main", "article"):
-        return False
+        return 0
+    hinted = 0
     for key, value in ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'")
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
-            return True
+            return PART
         if key == "role" and value.lower() in _roles:
-            return True
-        if key in ("class", "id") and any(t.lower() in _hints for t in TOKENS.findall(value)):
-            return True
-    return False
+            return PART
+        if key in ("class", "id") and not hinted and any(map(_hints_at, value.split())):
+            hinted = HINT
+    return hinted
 
 
 def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
@@ -64,12 +76,18 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
 
     A block element starts a line and its end ends it; other elements leave no trace. Elements whose end may be left out close
     where HTML says so, others left open with the element around them, however many are open; an unread element without an end runs to the end of the page.
+    A class or id that hints at boilerplate does not count where the element holds the main element, articles while no article lies
+    outside such elements, or most of the page's text that is not in links and four times what no such element holds. It counts
+    around an article or main element that lies outside such elements.
     """
-    lines: list[tuple[str, int, bool, bool]] = []
+    lines: list[tuple[str, int, bool, bool, int]] = []  # and the innermost hinted element around it
+    # per hinted element, from 1: the hinted one around it, the mark it holds, whether it lies in a mark
+    around, holds, within, hint = [0], [""], [False], 0
+    free: set[str] = set()  # marks outside hinted elements
     parts: list[str] = []
     links = 0
-    # element, whether it turns boilerplate on, whether it is the article, and per kind of ENDLESS where the one lies that may end here, or -1
-    open_: list[tuple[str, bool, bool, tuple[int, ...]]] = []
+    # element, how it turns boilerplate on, whether it is the article, and per kind of ENDLESS where the one lies that may end here, or -1
+    open_: list[tuple[str, int, bool, tuple[int, ...]]] = []
     number: dict[str, int] = {}  # of open elements by name
     none = (-1,) * (1 + max(ENDLESS.values()))
     skip = article = link = 0
@@ -79,29 +97,41 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
         if parts:
             text = SPACES.sub(" ", html_lib.unescape("".join(parts))).strip()
             if text:
-                lines.append((text, min(links, len(text)), article > 0, skip > 0))
+                lines.append((text, min(links, len(text)), article > 0, skip > 0, hint))
             parts.clear()
         links = 0
 
     def pop() -> str:
-        nonlocal skip, article, link
+        nonlocal skip, article, link, hint
         last, off, main, _ = open_[-1]
         if off or main:
             close_line()
         open_.pop()
         number[last] -= 1
-        skip, article, link = skip - off, article - main, link - (last == "a")
+        skip, article, link = skip - (off == PART), article - main, link - (last == "a")
+        hint = around[hint] if off == HINT else hint
         return last
 
-    def push(name: str, off: bool, main: bool) -> None:
-        nonlocal skip, article, link
+    def push(name: str, off: int, main: bool) -> None:
+        nonlocal skip, article, link, hint
         near = open_[-1][3] if open_ else none
         if name in HIDES or name in ENDLESS:
             hidden, own = HIDES.get(name, ()), ENDLESS.get(name, -1)
             near = tuple(len(open_) if k == own else -1 if k in hidden else i for k, i in enumerate(near))
         open_.append((name, off, main, near))
         number[name] = number.get(name, 0) + 1
-        skip, article, link = skip + off, article + main, link + (name == "a")
+        skip, article, link = skip + (off == PART), article + main, link + (name == "a")
+        if off == HINT:
+            around.append(hint)
+            holds.append("")
+            within.append(article > 0)
+            hint = len(around) - 1
+        if main:
+            if not hint:
+                free.add(name)
+            up = hint
+            while up and holds[up] not in ("main", name):
+                holds[up], up = name, around[up]
 
     at, size = 0, len(page)
     while at < size:
@@ -140,9 +170,9 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
             ends = [i for k in CLOSED_BY.get(name, ()) if open_ and (i := open_[-1][3][k]) >= 0]
             popped = [pop() for _ in range(len(open_) - min(ends))] if ends else []
             if "a" in popped and name not in ENDLESS:  # a link around a block goes on in it
-                push("a", False, False)
+                push("a", 0, False)
             starts = block or name in ("span", "a", "ins")
-            off = starts and _is_boilerplate(name, found[3], article > 0)
+            off = _boilerplate_kind(name, found[3], article > 0) if starts else 0
             main = name in ("article", "main") and not off and not skip
             if off and not block:
                 close_line()
@@ -151,7 +181,18 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
             while pop() != name:
                 pass
     close_line()
-    return lines
+    own = [0] * len(around)
+    for text, linked, _, skipped, h in lines:
+        own[h] += 0 if skipped else len(text) - linked
+    whole, plain, dropped = list(own), [0] * len(own), [False] * len(own)
+    for h in range(len(own) - 1, 0, -1):
+        whole[around[h]] += whole[h]
+    for h in range(1, len(own)):
+        plain[h] = plain[around[h]] + own[around[h]]
+        most = 2 * whole[h] > whole[0] and whole[h] > 4 * plain[h]
+        spared = (within[h] or not free) and (holds[h] == "main" or holds[h] and "article" not in free or most)
+        dropped[h] = dropped[around[h]] or not spared
+    return [(text, linked, inside, skipped or dropped[h]) for text, linked, inside, skipped, h in lines]
 
 
 def main_text(page: str | None) -> str:

@@ -144,6 +144,20 @@ def test_ends_that_are_left_out(page, text):
     assert extract.main_text(page) == text
 
 
+@pytest.mark.parametrize("page,text", [
+    (f"<div class='content has-sidebar'><p>{LONG}</div><div class=sidebar><p>no</div>", LONG.strip()),
+    (f"<div id=page class='right-sidebar'><article>Body</article><div class=sidebar>{LONG}</div></div>", "Body"),
+    (f"<div class='post comments-open'><p>{LONG}</div><div id=comments>{LONG}{LONG}</div>", LONG.strip()),
+    (f"<section class='ad-free'><p>{LONG}</section><div class='cookie-notice'>{LONG}{LONG}</div>", LONG.strip()),
+    (f"<div class=sidebar-left><div class=social><main>Body</main>{LONG}</div></div><p>{LONG}{LONG}", "Body"),
+    (f"<div class='layout sidebar'><div class=share><a href=1>{LONG}</a>no</div><p>{LONG}<p>end</div><p>tail", f"{LONG.strip()}\nend\ntail"),
+    (f"<article>Body</article><div id=comments><article>{LONG}</article></div>", "Body"),
+    (f"<article>Body</article><div class=comments-list>{LONG}</div>", "Body"),
+])
+def test_hints_spare_what_holds_the_text(page, text):
+    assert extract.main_text(page) == text
+
+
 # ---- pieces
 
 
