@@ -2,7 +2,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +14,10 @@ from dayloom.llm.common import WORD, groups, keep, let, text_or_empty
 SPAN, LEAST = 5, 0.8
 RECALL = 1 - 1e-6  # of each pair of the least similarity, over all runs
 CHOSEN = 3  # tokens a set is expected to choose in one run
-SPLIT = 6  # tokens it is expected to choose where a large bucket is split
+SPLIT = 12  # tokens it is expected to choose, of all it has, where a large bucket is split
+# Members that chose fewer tokens than this other than common ones are also compared in blocks. Of a pair of similarity 0.8 that shares none of these
+# tokens a member has at most SPLIT / 5 expected ones of its own, so a split that parts the pair leaves one out of this with a chance of 0.012 at most.
+FEW = 7
 LEAF = 1024  # sets that are compared with each other in one group; a comparison of sketches is cheap, a split is not
 BLOCK = 1024  # sets of a bucket that is not split, that are compared with each other or with as many others in one group
 DENSE = 0.5  # mean similarity of a bucket's members to one of them, from which splitting no longer parts it
@@ -115,12 +118,13 @@ def profiles(docs: DataFrame, least: float = LEAST) -> DataFrame:
     return rows.mapInArrow(_profiles(n_runs(least)), schema)
 
 
-def leaves(sets: DataFrame) -> DataFrame:
+def leaves(sets: DataFrame, tokens_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """``leaf, key, size``: buckets of two sets and more that need no further split.
 
-    A bucket of more than ``LEAF`` sets is split by the tokens its members chose, other than those nearly all share, unless its
-    members are alike on the whole (by their sketches and that of one of them) or it has been split ``DEPTH`` times. Counts and
-    means decide; no bucket is gathered.
+    A bucket of more than ``LEAF`` sets is split by tokens its members choose anew of all they have (``tokens_of`` gives ``key, shingles`` of a
+    table of keys), other than those nearly all share, unless its members are alike on the whole (by their sketches and that of one
+    of them) or it has been split ``DEPTH`` times. Members left with ``FEW`` tokens, as a passage that the bucket shares makes up most of
+    them, are a leaf of their own besides. Counts and means decide; no bucket is gathered.
     """
     level = sets.select("key", F.explode("paths").alias("bucket"))
     done: list[DataFrame] = []
@@ -140,11 +144,20 @@ def leaves(sets: DataFrame) -> DataFrame:
         dense = keep(dense.where(F.col("alike") >= DENSE).select("bucket"), f"dense-{depth}")
         done.append(large.join(dense, "bucket", "left_semi"))
         draw = lambda token: F.pmod(F.xxhash64("bucket", token), F.lit(1 << 30)) / float(1 << 30)
-        drawn = F.filter("paths", lambda token: draw(token) * F.size("paths") < SPLIT)
-        parted = large.join(dense, "bucket", "left_anti").join(sets.select("key", "paths"), "key")
-        tokens = keep(parted.select("bucket", "size", "key", F.explode(drawn).alias("token")), f"tokens-{depth}")
+        parted = large.join(dense, "bucket", "left_anti")
+        places = parted.groupBy("key").agg(F.collect_list(F.struct("bucket", "size")).alias("places"))
+        parted = tokens_of(places.select("key")).join(places, "key").select("key", "shingles", F.explode("places").alias("place"))
+        parted = parted.select("key", "shingles", F.col("place.bucket").alias("bucket"), F.col("place.size").alias("size"))
+        drawn = F.filter("shingles", lambda token: draw(token) * F.size("shingles") < SPLIT)
+        tokens = keep(parted.select("bucket", "size", "key", F.explode_outer(drawn).alias("token")), f"tokens-{depth}")
         shared = tokens.groupBy("bucket", "token").agg(F.count("*").alias("n"), F.max("size").alias("size"))
         parting = shared.where((F.col("n") > 1) & (F.col("n") < F.col("size") * COMMON)).select("bucket", "token")
+        common = shared.where((F.col("n") >= F.col("size") * COMMON) & F.col("token").isNotNull())
+        told = tokens.join(common.select("bucket", "token", F.lit(True).alias("common")), ["bucket", "token"], "left")
+        own = F.count(F.when(F.col("common").isNull(), F.col("token")))
+        few = keep(told.groupBy("bucket", "key").agg(own.alias("own")).where(F.col("own") < FEW).select("bucket", "key"), f"few-{depth}")
+        alone = few.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+        done.append(few.join(alone, "bucket").select(F.xxhash64(F.lit(4), "bucket").alias("bucket"), "key", "size"))
         level = tokens.join(parting, ["bucket", "token"])
         level = keep(level.select("key", F.xxhash64(F.lit(3), "bucket", "token").alias("bucket")), f"level-{depth + 1}")
     out = done[0]
@@ -323,7 +336,13 @@ def similar_documents(docs: DataFrame, least: float = LEAST) -> DataFrame:
         F.first("paths").alias("paths"), F.first("sketch").alias("sketch"),
     )
     sets = keep(sets, "sets")
-    found = keep(leaves(sets), "leaves")
+
+    def shingles_of(keys: DataFrame) -> DataFrame:
+        ids = sets.join(keys, "key", "left_semi").select("copy_of", F.col("key").alias("_key"))
+        texts = docs.select("doc_id", "text").join(ids.select("copy_of").distinct(), F.col("doc_id").eqNullSafe(F.col("copy_of")), "left_semi")
+        return keyed(texts).join(ids, (F.col("key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("copy_of"))).select("key", "shingles").dropDuplicates(["key"])
+
+    found = keep(leaves(sets, shingles_of), "leaves")
     listed = found.groupBy("key").agg(F.sort_array(F.collect_set("leaf")).alias("leaf_list"))
     grouped = keep(_blocks(found).join(listed, "key"), "groups")
     screened = grouped.select("group", "leaf", "within", "side", "key", "leaf_list").join(sets.select("key", "n", "sketch"), "key")

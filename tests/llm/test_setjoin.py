@@ -5,6 +5,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from dayloom.llm import setjoin
 from tests.llm.helpers import DOCUMENTS, with_clashes
@@ -76,6 +77,31 @@ def test_large_alike_groups_and_common_passages(spark, monkeypatch):
     check(spark, list(enumerate(rows)))
 
 
+@pytest.mark.parametrize("part", [0.65, 0.9])
+def test_near_copies_within_a_shared_passage(spark, monkeypatch, part):
+    """Pairs that meet in buckets of the passage alone must survive the splits of these buckets."""
+    monkeypatch.setattr(setjoin, "LEAF", 16)
+    monkeypatch.setattr(setjoin, "BLOCK", 16)
+    made = random.Random(8)
+    passage = [f"p{i}" for i in range(69)]
+    rest = int(65 / part) - 65
+    rows = []
+    for _ in range(60):
+        own = [f"u{made.randrange(10**9)}" for _ in range(rest)]
+        rows += [" ".join(passage + own), " ".join(passage + (own[: rest - 8] if part < 0.9 else []) + [f"z{made.randrange(10**9)}"])]
+    rows += [" ".join(passage + [f"v{made.randrange(10**9)}" for _ in range(200)]) for _ in range(120)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(rows)], DOCUMENTS)
+    sets = setjoin.keyed(docs).select("key", "shingles")
+    ids = {bytes(r["key"]): r["doc_id"] for r in setjoin.keyed(docs).collect()}
+    # all sets in one bucket of the first level: what meets there must meet after its splits
+    one = setjoin.profiles(docs).groupBy("key").agg(F.first("sketch").alias("sketch")).withColumn("paths", F.array(F.lit(7).cast("bigint")))
+    found: dict = {}
+    for r in setjoin.leaves(one, lambda keys: sets.join(keys, "key", "left_semi").dropDuplicates(["key"])).collect():
+        found.setdefault(r["leaf"], set()).add(ids[bytes(r["key"])])
+    met = sum(any({2 * i, 2 * i + 1} <= leaf for leaf in found.values()) for i in range(60))
+    assert met == 60
+
+
 def test_runs_follow_the_recall():
     assert setjoin.n_runs(0.8, 1 - 1e-6) == 6 and setjoin.n_runs(0.5, 0.9) == 2
 
