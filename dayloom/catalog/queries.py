@@ -852,7 +852,7 @@ def trip_delays(spark, folder):
 def encoded_features(spark, folder):
     """M1"""
     design = R.Design()
-    rows = R.model_rows(_analysis(spark, folder), design)
+    rows = R.model_rows(_analysis(spark, folder), design, "drop")
     encoded = R.encode(rows, design, R.fit_scaling(rows, design.numeric))
     return tidy(encoded.select("date", *[f"x_{c}" for c in design.columns()]))
 

@@ -128,6 +128,8 @@ def test_first_synonym_wins(spark):
 def test_conform_coerces_and_fills(spark):
     df = spark.createDataFrame([("x", "n/a", float("nan")), ("2024-01-01T10:00:00+02:00", "1.5", 2.0)],
                                "observation_ts string, pm25 string, pm10 double")
-    got = conform(df, "air_quality").collect()
+    with pytest.raises(Exception, match="observation_ts|pm25"):
+        conform(df, "air_quality").collect()
+    got = conform(df, "air_quality", on_bad="null").collect()
     assert tuple(got[0]) == (None, None, None, None)
     assert tuple(got[1]) == (None, datetime(2024, 1, 1, 8, 0), 1.5, 2.0)
