@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dayloom.llm import extract, mixing, neighbours, pieces, quality, repeats, secrets, setjoin, urls, warc
+from dayloom.llm import bytepairs, extract, mixing, neighbours, pieces, quality, repeats, secrets, setjoin, urls, warc
 from dayloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +69,8 @@ def op9_repeated_strings(spark, folder):
 @query
 def op10_pieces(spark, folder):
     return pieces.encode_documents(table(spark, folder, "documents")).drop("text")
+
+
+@query
+def op12_byte_pairs(spark, folder):
+    return bytepairs.digests(bytepairs.encode_documents(table(spark, folder, "documents")))
