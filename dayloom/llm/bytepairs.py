@@ -18,8 +18,7 @@ CACHE, PAIR_CACHE = 3 << 17, 1 << 20  # entries a worker keeps, of pieces and un
 CACHED_CHARS = 64  # longer pieces are not kept
 DOCS_AT_ONCE = 256
 NONE = 1 << 62
-# The public split pattern never has a space after another character than white space inside a match, and never looks past one.
-PUBLIC_CUT = r"(?<=\S)(?= )"
+ODD_SPACE = re.compile(r"\s\s|[^\S \n]").search
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -38,32 +37,38 @@ class PairEncoder:
     longest token has bytes, the work is linear in the piece. Matches come from one automaton over all tokens, whose bytes
     are mapped to Latin-1 characters. Whether two tokens may stand side by side is worked out once and remembered.
 
-    ``cut`` matches a place where the split pattern always ends one match and starts another, so that what lies between two such places is split, and
-    remembered, by itself; without it whole texts are split.
+    ``spaced`` says that the split pattern, as the public one does, starts a match at each single space, and before and after each single line feed, so that what lies
+    between them is split, and remembered, by itself; without it, and where white space follows white space, whole texts are split.
     """
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, cut: str | None = None):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, spaced: bool = False):
         import ahocorasick
         import regex
 
         missing = [b for b in range(256) if bytes([b]) not in ranks]
         if missing:
             raise ValueError(f"the vocabulary lacks {len(missing)} of the 256 single bytes")
+        for token, rank in ranks.items():
+            own = lambda part: ranks.get(part, NONE) if len(part) > 1 else -1
+            if len(token) > 1 and not any(max(own(token[:i]), own(token[i:])) < rank for i in range(1, len(token))):
+                raise ValueError(f"{token!r} is not made of two tokens of lower ranks, so its rank is not that of a merge")
         self.ranks = ranks
         self.bytes = {i: token for token, i in ranks.items()}
         self.names = {token.decode("latin-1"): i for token, i in ranks.items()}
         self.sizes = {i: len(token) for token, i in ranks.items()}
         self.split = regex.compile(pattern).findall
-        self.cut = re.compile(cut).split if cut else None
+        self.spaced = spaced
+        self.line_feed = (ranks[b"\n"],)
         self.automaton = ahocorasick.Automaton()
         for name, i in self.names.items():
             self.automaton.add_word(name, (len(name) - 1, i))
         self.automaton.make_automaton()
         self.shorter: dict[int, int] = {}
         self.single: dict[int, bool] = {}
+        self.parts: dict[int, tuple | None] = {}
         self.pairs: dict[int, bool] = {}
-        self.pieces = Kept(lambda piece: self.piece(piece.encode()))
-        self.units = Kept(self.unit)
+        self.pieces = Kept(lambda piece: tuple(self.piece(piece.encode())))  # tuples of numbers are no work for the garbage collector
+        self.words = Kept(lambda word: self.whole(" " + word))
 
     def merged(self, data: bytes) -> list[int]:
         """The definition: of all neighbours that form a token those of the lowest rank are joined, the leftmost of equals first."""
@@ -86,11 +91,42 @@ class PairEncoder:
             known = self.single[token] = self.merged(self.bytes[token]) == [token]
         return known
 
+    def grown(self, token: int) -> tuple[list[tuple[bytes, int]], list[tuple[bytes, int]]] | None:
+        """The first and the last part of a token from single byte to whole while its bytes are merged, each with the rank of the merge that ends
+        it. None where merges do not come in the order of their ranks, as in a made-up vocabulary."""
+        data, rank_of, lowest = self.bytes[token], self.ranks.get, -1
+        parts = [data[i : i + 1] for i in range(len(data))]
+        heads, tails = [], []
+        while len(parts) > 1:
+            rank, at = min((rank_of(a + b, NONE), i) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False)))
+            if rank == NONE or rank < lowest:
+                return None
+            lowest = rank
+            if at == 0:
+                heads.append((parts[0], rank))
+            if at == len(parts) - 2:
+                tails.append((parts[-1], rank))
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        return [*heads, (data, NONE)], [*tails, (data, NONE)]
+
     def fits(self, left: int, right: int) -> bool:
-        """Whether merging the joint bytes of two tokens gives just these two."""
+        """Whether merging the joint bytes of two tokens gives just these two.
+
+        Merges within the one and the other go on as if alone until one crosses the border, which joins a last part of the left and a first part of
+        the right token: it does if it comes before the merges that end them. Of equal ranks the leftmost is first.
+        """
         if len(self.pairs) >= PAIR_CACHE:
             self.pairs.clear()
-        known = self.pairs[left << 32 | right] = self.merged(self.bytes[left] + self.bytes[right]) == [left, right]
+        for token in (left, right):
+            if token not in self.parts:
+                self.parts[token] = self.grown(token)
+        mine, other = self.parts[left], self.parts[right]
+        if mine is None or other is None:
+            known = self.merged(self.bytes[left] + self.bytes[right]) == [left, right]
+        else:
+            rank_of = self.ranks.get
+            known = not any(rank_of(a + b, NONE) < min(end, stop + 1) for a, end in mine[1] for b, stop in other[0])
+        self.pairs[left << 32 | right] = known
         return known
 
     def next_shorter(self, token: int) -> int:
@@ -135,16 +171,22 @@ class PairEncoder:
                 at -= sizes[token]
         return taken
 
-    def unit(self, unit: str) -> list[int]:
-        """The ids of what lies between two cuts; a space and letters are one piece of the public pattern."""
-        if unit[:1] == " " and unit[1:].isalpha():
-            return self.pieces[unit]
-        return list(chain.from_iterable(map(self.pieces.__getitem__, self.split(unit))))
+    def whole(self, text: str) -> tuple[int, ...]:
+        return tuple(chain.from_iterable(map(self.pieces.__getitem__, self.split(text))))
 
     def encode(self, text: str) -> list[int]:
-        if self.cut is None:
-            return list(chain.from_iterable(map(self.pieces.__getitem__, self.split(text))))
-        return list(chain.from_iterable(map(self.units.__getitem__, self.cut(text)))) if text else []
+        if not text:
+            return []
+        if not self.spaced or ODD_SPACE(text) or text[-1].isspace():
+            return list(self.whole(text))
+        out, words = [], self.words.__getitem__
+        for line in text.split("\n"):
+            if out:
+                out.append(self.line_feed)
+            head, *rest = line.split(" ")
+            out.append(self.whole(head))
+            out += map(words, rest)
+        return list(chain.from_iterable(out))
 
     def decode(self, ids: Iterable[int]) -> bytes:
         """The bytes of the ids; an id that is none is an error."""
@@ -158,7 +200,7 @@ class Kept(dict):
         super().__init__()
         self.make, self.earlier = make, {}
 
-    def __missing__(self, key: str) -> list[int]:
+    def __missing__(self, key: str) -> tuple[int, ...]:
         value = self.earlier.get(key)
         if value is None:
             value = self.make(key)
@@ -180,12 +222,12 @@ def vocabulary() -> tuple[str, str]:
 _worker: dict[bytes, PairEncoder] = {}
 
 
-def _encoder(data: bytes, pattern: str, cut: str | None) -> PairEncoder:
+def _encoder(data: bytes, pattern: str, spaced: bool) -> PairEncoder:
     """The encoder of this vocabulary; a worker that runs several tasks builds it once."""
     key = hashlib.sha256(data + b"\0" + pattern.encode()).digest()
     if key not in _worker:
         _worker.clear()
-        _worker[key] = PairEncoder(read_ranks(data), pattern, cut)
+        _worker[key] = PairEncoder(read_ranks(data), pattern, spaced)
     return _worker[key]
 
 
@@ -197,12 +239,9 @@ def encode_documents(docs: DataFrame, path: str | None = None, pattern: str | No
     as a text of one letter repeated, takes time linear in it. Of several matches that fit, the longest is taken; the list is unique, so ties cannot change it.
     The file of ranks (below a megabyte) is read by the driver and sent with the tasks.
     """
-    if path is None or pattern is None:
-        known = vocabulary()
-        path, pattern, cut = path or known[0], pattern or known[1], PUBLIC_CUT if pattern in (None, known[1]) else None
-    else:
-        cut = None
-    shared = docs.sparkSession.sparkContext.broadcast((Path(path).read_bytes(), pattern, cut))
+    known = vocabulary()[1] if pattern is None else pattern
+    spaced = pattern is None or path is None and pattern == vocabulary()[1]
+    shared = docs.sparkSession.sparkContext.broadcast((Path(path or vocabulary()[0]).read_bytes(), known, spaced))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(*shared.value)

@@ -1,7 +1,7 @@
 """Helpers shared by the operators of this subpackage."""
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,14 +17,23 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def keep(df: DataFrame, label: str) -> DataFrame:
+def keep(df: DataFrame, label: str, by: Sequence[str] = ()) -> DataFrame:
     """The rows written once to the shared folder and read back: later passes neither repeat the work
-    nor depend on an executor that may be lost."""
+    nor depend on an executor that may be lost. ``by`` names columns whose values get folders of their own."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(kept: DataFrame) -> None:
+    """Remove the files of a kept table that nothing reads any more."""
+    files = kept.inputFiles()
+    if files:
+        session = kept.sparkSession
+        path = session._jvm.org.apache.hadoop.fs.Path(files[0].rsplit("/", 1)[0])
+        path.getFileSystem(session._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 

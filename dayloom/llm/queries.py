@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dayloom.llm import bytepairs, extract, mixing, neighbours, pieces, quality, repeats, secrets, setjoin, urls, warc
+from dayloom.llm import bytepairs, extract, mixing, neighbours, phrases, pieces, quality, repeats, secrets, setjoin, spelling, urls, warc
 from dayloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,6 +71,16 @@ def op10_pieces(spark, folder):
     return pieces.encode_documents(table(spark, folder, "documents")).drop("text")
 
 
+@query
+def op11_spelling_variants(spark, folder):
+    return spelling.spelling_variants(table(spark, folder, "documents"))
+
+
 @query
 def op12_byte_pairs(spark, folder):
     return bytepairs.digests(bytepairs.encode_documents(table(spark, folder, "documents")))
+
+
+@query
+def op13_collocations(spark, folder):
+    return phrases.collocations(table(spark, folder, "documents"))
