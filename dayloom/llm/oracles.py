@@ -73,7 +73,7 @@ crc(t) AS (SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0,
     lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END))),
 runs AS (
     SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                                             '[a-z\u00C0-\u00FF]{6,}')) AS run
+                                             '[a-z\x{C0}-\x{FF}]{6,}')) AS run
     FROM documents),
 counted AS (SELECT coalesce(doc_id::VARCHAR, '') AS d, run, count(*) AS c FROM runs GROUP BY 1, 2),
 bytes AS (
