@@ -680,6 +680,38 @@ ORACLES["calendar_features"] = sql(
     + ", ".join(f"CAST(weekday = '{d}' AS BIGINT) AS is_{d.lower()}" for d in V.WEEKDAYS)
     + ", substr(date, 6) IN ('01-01', '01-26', '04-25', '12-25', '12-26') AS is_holiday FROM fact"
 )
+# Easter Sundays of 1990 to 2050 (month-day), one a year.
+EASTER_SUNDAYS = (
+    "04-15 03-31 04-19 04-11 04-03 04-16 04-07 03-30 04-12 04-04 04-23 04-15 03-31 04-20 04-11 03-27 04-16 04-08 03-23 04-12 "
+    "04-04 04-24 04-08 03-31 04-20 04-05 03-27 04-16 04-01 04-21 04-12 04-04 04-17 04-09 03-31 04-20 04-05 03-28 04-16 04-01 "
+    "04-21 04-13 03-28 04-17 04-09 03-25 04-13 04-05 04-25 04-10 04-01 04-21 04-06 03-29 04-17 04-09 03-25 04-14 04-05 04-18 04-10"
+).split()
+CTES["easters"] = "SELECT unnest([" + ", ".join(f"DATE '{1990 + i}-{d}'" for i, d in enumerate(EASTER_SUNDAYS)) + "]) AS easter"
+CTES["year_days"] = "SELECT easter, year(easter) AS y, CAST(unnest(generate_series(make_date(year(easter), 1, 1), make_date(year(easter), 12, 31), INTERVAL 1 DAY)) AS DATE) AS d FROM easters"
+CTES["holidays_own"] = """
+SELECT d, CASE WHEN month(d) = 1 AND day(d) = 1 THEN 'New Year''s Day' WHEN month(d) = 1 AND day(d) = 26 THEN 'Australia Day'
+    WHEN d = easter - 2 THEN 'Good Friday' WHEN d = easter - 1 THEN 'Easter Saturday' WHEN d = easter THEN 'Easter Sunday'
+    WHEN d = easter + 1 THEN 'Easter Monday' WHEN month(d) = 4 AND day(d) = 25 THEN 'Anzac Day'
+    WHEN month(d) = 6 AND isodow(d) = 1 AND day(d) BETWEEN 8 AND 14 THEN 'King''s Birthday'
+    WHEN month(d) = 10 AND isodow(d) = 1 AND day(d) <= 7 THEN 'Labour Day'
+    WHEN month(d) = 12 AND day(d) = 25 THEN 'Christmas Day' WHEN month(d) = 12 AND day(d) = 26 THEN 'Boxing Day' END AS name
+FROM year_days"""
+CTES["holidays_all"] = """
+SELECT d, name, 0 AS later FROM holidays_own WHERE name IS NOT NULL
+UNION ALL SELECT d + CASE WHEN isodow(d) = 6 THEN 2 ELSE 1 END, name || ' (substitute)', 1 FROM holidays_own
+WHERE name IN ('New Year''s Day', 'Australia Day') AND isodow(d) >= 6
+UNION ALL SELECT d + 2, name || ' (substitute)', 1 FROM holidays_own WHERE name IN ('Christmas Day', 'Boxing Day') AND isodow(d) >= 6"""
+CTES["holidays_kept"] = "SELECT d, first(name ORDER BY later, name) AS holiday FROM holidays_all GROUP BY d"
+ORACLES["observed_holidays"] = sql(
+    "SELECT date, weekday, holiday, holiday IS NOT NULL AS is_holiday FROM fact LEFT JOIN holidays_kept ON d = CAST(date AS DATE)"
+)
+ORACLES["holiday_mood"] = sql(
+    rounded(
+        """SELECT coalesce(holiday, 'none') AS holiday, count(*) AS days, avg(mood_1_5) AS mood
+        FROM fact LEFT JOIN holidays_kept ON d = CAST(date AS DATE) GROUP BY 1""",
+        ["mood"],
+    )
+)
 CTES["switches"] = """
 SELECT c.entity_id, CAST(c.date AS VARCHAR) AS date, c.primary_mode, u.usual_mode,
        c.primary_mode <> u.usual_mode AS mode_switch, c.mean_delay_s
@@ -755,6 +787,29 @@ ORACLES["trip_delays"] = sql(
     )
 )
 
+CTES["near_pairs"] = """
+SELECT t.trip_id, t.route, r.trip_id AS report, r.delay_s, epoch_us(r.ts) - epoch_us(t.trip_start_ts) AS distance_us
+FROM (SELECT *, unnest([date_trunc('hour', trip_start_ts) - INTERVAL 1 HOUR, date_trunc('hour', trip_start_ts),
+                        date_trunc('hour', trip_start_ts) + INTERVAL 1 HOUR]) AS hour FROM f_routed) t
+JOIN f_reports r ON r.route = t.route AND date_trunc('hour', r.ts) = t.hour
+    AND r.ts BETWEEN t.trip_start_ts - INTERVAL 30 MINUTES AND t.trip_start_ts + INTERVAL 30 MINUTES"""
+
+
+def nearest(where: str) -> str:
+    return rounded(
+        f"""SELECT t.trip_id, t.route, p.report, p.delay_s, p.distance_us FROM f_routed t LEFT JOIN (
+            SELECT *, row_number() OVER (PARTITION BY trip_id ORDER BY abs(distance_us), distance_us, report) AS nth
+            FROM near_pairs WHERE {where}) p ON p.trip_id = t.trip_id AND nth = 1""",
+        ["delay_s"],
+    )
+
+
+ORACLES["nearest_report"] = sql(nearest("true"))
+ORACLES["last_report"] = sql(nearest("distance_us <= 0"))
+ORACLES["reports_within"] = sql(
+    rounded("SELECT trip_id, route, report, delay_s, distance_us FROM near_pairs WHERE distance_us >= -300000000 AND distance_us < 300000000", ["delay_s"])
+)
+
 # ---- model --------------------------------------------------------------------------------------
 
 DUMMIES = [f"is_{d.lower()}" for d in V.WEEKDAYS]
@@ -958,6 +1013,83 @@ avg(steps) AS ms, stddev_pop(steps) AS ss FROM fact) s
 WHERE abs((r.commute_minutes - mc) / sc) <= 2 AND abs((r.steps - ms) / ss) <= 2"""
 add_scaled_fit("near", "near_rows")
 ORACLES["robust_coefficients"] = sql(terms_of("near"))
+# Reweighted least squares with a fixed number of passes: each solves the weighted normal equations of the standardised controls.
+CTES["robust_rows"] = (
+    "SELECT mood_1_5, "
+    + ", ".join(f"(CAST({c} AS DOUBLE) - avg(CAST({c} AS DOUBLE)) OVER ()) / stddev_pop(CAST({c} AS DOUBLE)) OVER () AS {c}" for c in CONTROLS)
+    + " FROM fact WHERE mood_1_5 IS NOT NULL"
+)
+CTES["robust_spread"] = "SELECT " + ", ".join(f"stddev_pop(CAST({c} AS DOUBLE)) AS {c}" for c in CONTROLS) + " FROM fact WHERE mood_1_5 IS NOT NULL"
+add_fit("plain", "robust_rows", CONTROLS)
+_fitted = "beta[1] + " + " + ".join(f"beta[{i + 2}] * {c}" for i, c in enumerate(CONTROLS))
+HUBER_C, TUKEY_C, PASSES = 1.345, 4.685, 60
+_huber_w = f"CASE WHEN abs(u) <= {HUBER_C} THEN 1.0 ELSE {HUBER_C} / abs(u) END"
+_tukey_w = f"CASE WHEN abs(u) < {TUKEY_C} THEN (1 - (u / {TUKEY_C}) * (u / {TUKEY_C})) * (1 - (u / {TUKEY_C}) * (u / {TUKEY_C})) ELSE 0.0 END"
+
+
+def reweighted(name: str, start: str, weight: str, scale: str) -> str:
+    terms = ["1", *CONTROLS]
+    line = ", ".join("[" + ", ".join(f"sum(w * {a} * {b})" for b in [*terms, "mood_1_5"]) + "]" for a in terms)
+    rows = f"SELECT step, s, mood_1_5, {', '.join(CONTROLS)}, (mood_1_5 - ({_fitted})) / s AS u FROM {name}, robust_rows WHERE step < {PASSES}"
+    source = f"SELECT step, s, count(*) AS n, sum(w * u * w * u) AS squares, [{line}]::DOUBLE[][] AS m FROM (SELECT *, {weight} AS w FROM ({rows})) GROUP BY step, s"
+    for k in range(1, len(terms) + 1):
+        solved = f"""list_transform(m, lambda r, i: CASE WHEN i = {k} THEN list_transform(r, lambda v: v / m[{k}][{k}])
+ELSE list_transform(r, lambda v, j: v - r[{k}] * m[{k}][j] / m[{k}][{k}]) END)"""
+        source = f"SELECT step, s, n, squares, {solved} AS m FROM ({source})"
+    size = len(terms)
+    return f"""SELECT 0 AS step, beta, s FROM ({start})
+UNION ALL SELECT step + 1, list_transform(m, lambda r: r[{size + 1}]), {scale} FROM ({source})"""
+
+
+_density = f"exp(-{HUBER_C} * {HUBER_C} / 2.0) / sqrt(2 * pi())"
+CTES["normal_below"] = f"""
+SELECT 0.5 + {_density} * sum(term) AS below FROM (
+    WITH RECURSIVE series(i, term) AS (SELECT 0, {HUBER_C}::DOUBLE UNION ALL SELECT i + 1, term * {HUBER_C} * {HUBER_C} / (2 * i + 3) FROM series WHERE i < 40)
+    SELECT term FROM series)"""
+_kappa = f"(2 * {HUBER_C} * {HUBER_C} * (1 - below) + 2 * below - 1 - 2 * {HUBER_C} * {_density})"
+CTES["plain_scale"] = f"SELECT beta, sqrt(sum(d * d) / (count(*) - 6)) AS s FROM (SELECT beta, mood_1_5 - ({_fitted}) AS d FROM robust_rows, plain_beta) GROUP BY beta"
+CTES["huber_passes"] = reweighted(
+    "huber_passes", "SELECT beta, s FROM plain_scale", _huber_w, f"s * sqrt(squares / ((n - 6) * (SELECT {_kappa} FROM normal_below)))"
+)
+CTES["tukey_passes"] = reweighted("tukey_passes", f"SELECT beta, s FROM huber_passes WHERE step = {PASSES}", _tukey_w, "s")
+
+
+def robust_terms(passes: str, weight: str, slope: str) -> str:
+    u = f"SELECT beta, s, (mood_1_5 - ({_fitted})) / s AS u FROM {passes}, robust_rows WHERE step = {PASSES}"
+    sums = f"SELECT beta, s, count(*) AS n, sum(w * u * w * u) AS squares, avg(d) AS slope, var_pop(d) AS spread FROM (SELECT *, {weight} AS w, {slope} AS d FROM ({u})) GROUP BY beta, s"
+    error = "(1 + 6 / n * spread / (slope * slope)) * s * sqrt(squares / (n - 6)) / slope"
+    lines = ", ".join(
+        f"{{'term': '{c}', 'coefficient': beta[{i + 2}] / v.{c}, 'std_error': {error} * sqrt(m[{i + 1}][{i + 7}]), 't_value': beta[{i + 2}] / v.{c} / ({error} * sqrt(m[{i + 1}][{i + 7}]))}}"
+        for i, c in enumerate(CONTROLS)
+    )
+    return rounded(f"SELECT unnest([{lines}], recursive := true) FROM ({sums}), robust_spread v, control_solution", ["coefficient", "std_error", "t_value"], 6)
+
+
+ORACLES["robust_huber"] = sql(robust_terms("huber_passes", _huber_w, f"CASE WHEN abs(u) <= {HUBER_C} THEN 1.0 ELSE 0.0 END"))
+ORACLES["robust_tukey"] = sql(
+    robust_terms(
+        "tukey_passes", _tukey_w,
+        f"CASE WHEN abs(u) < {TUKEY_C} THEN (1 - (u / {TUKEY_C}) * (u / {TUKEY_C})) * (1 - 5 * (u / {TUKEY_C}) * (u / {TUKEY_C})) ELSE 0.0 END",
+    )
+)
+# Centred controls are orthogonal to the intercept: the influence of a row on a slope is its product with a line of the inverse.
+_along = [" + ".join(f"m[{i + 1}][{j + 7}] * {b}" for j, b in enumerate(CONTROLS)) for i in range(len(CONTROLS))]
+CTES["influences"] = (
+    "SELECT mood_1_5 - avg(mood_1_5) OVER () - " + " - ".join(f"m[{i + 1}][6] * {c}" for i, c in enumerate(CONTROLS)) + " AS e, count(*) OVER () AS n, "
+    + ", ".join(f"{line} AS t{i}" for i, line in enumerate(_along))
+    + ", 1.0 / count(*) OVER () + " + " + ".join(f"{c} * ({line})" for c, line in zip(CONTROLS, _along, strict=True)) + " AS h FROM control_rows, control_solution"
+)
+ORACLES["sandwich_errors"] = sql(
+    rounded(
+        "\nUNION ALL ".join(
+            f"""SELECT '{c}' AS term, (SELECT m[{i + 1}][6] FROM control_solution) AS coefficient,
+            sqrt(sum(e * e * t{i} * t{i}) * max(n) / (max(n) - 6)) AS hc1_error, sqrt(sum(e * e / ((1 - h) * (1 - h)) * t{i} * t{i})) AS hc3_error FROM influences"""
+            for i, c in enumerate(CONTROLS)
+        ),
+        ["coefficient", "hc1_error", "hc3_error"],
+        6,
+    )
+)
 CTES["logit_rows"] = """
 SELECT CAST(mode_switch AS DOUBLE) AS y, coalesce(mean_delay_s, 0) / 60 AS x FROM switches"""
 CTES["newton"] = """
@@ -1165,6 +1297,16 @@ ORACLES["stream_delay_day"] = sql(
         ["mean_delay_s"],
     )
 )
+ORACLES["stream_closed_days"] = sql(
+    "SELECT * EXCLUDE (is_final), CAST(0 AS BIGINT) AS too_late FROM (" + rounded(
+        f"""SELECT {DATE_TEXT}, route, report_count, late_count, mean_delay_s,
+        d.date + INTERVAL 1 DAY <= (SELECT max(local_ts) - INTERVAL 2 HOURS FROM local_reports) AS is_final FROM (
+        SELECT CAST(local_ts AS DATE) AS date, route, count(*) AS report_count,
+               count(*) FILTER (WHERE delay_s > 60) AS late_count, avg(delay_s) AS mean_delay_s
+        FROM local_reports GROUP BY ALL) AS d""",
+        ["mean_delay_s"],
+    ) + ") WHERE is_final"
+)
 ORACLES["stream_distinct_reports"] = sql(
     rounded(f"SELECT {stamp('ts')} AS ts, route, trip_id, delay_s FROM f_reports", ["delay_s"])
 )

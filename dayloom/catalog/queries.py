@@ -18,13 +18,13 @@ from dayloom.functions import scalars as S
 from dayloom.functions.conform import conform, require_columns
 from dayloom.functions.conform import refused_rows as refused
 from dayloom.operators import bootstrap as B
-from dayloom.operators import cleaning, features, inference, joins, profile, quality, ranking, scenarios
+from dayloom.operators import asof, cleaning, features, inference, joins, profile, quality, ranking, robust, scenarios
 from dayloom.operators import regression as R
 from dayloom.plans import marts, runs, staging
 from dayloom.session import scratch_path
 from dayloom.sources import datasets, records
 from dayloom.sources import table_feeds as tf
-from dayloom.streaming import delays
+from dayloom.streaming import closing, delays
 
 AS_OF = date(2001, 11, 10)
 SEED = 42
@@ -766,6 +766,20 @@ def calendar_features(spark, folder):
     return tidy(out)
 
 
+@query
+def observed_holidays(spark, folder):
+    """Movable and substitute holidays of the mart's days"""
+    return tidy(features.observed_holidays(_fact(spark, folder).select("date", "weekday")))
+
+
+@query
+def holiday_mood(spark, folder):
+    """Mean mood by holiday"""
+    days = features.observed_holidays(_fact(spark, folder).select("date", "mood_1_5"))
+    kind = F.coalesce("holiday", F.lit("none")).alias("holiday")
+    return tidy(days.groupBy(kind).agg(F.count("*").alias("days"), F.avg("mood_1_5").alias("mood")))
+
+
 @query
 def mode_switch(spark, folder):
     """D5 per entity"""
@@ -845,6 +859,37 @@ def trip_delays(spark, folder):
     return tidy(matched.select("trip_id", "route", "reports", "delay_total", mean.alias("mean_delay_s")))
 
 
+def _nearest(spark, folder, direction: str) -> DataFrame:
+    reports = tf.delay_reports(spark, folder).select("ts", "route", "delay_s", F.col("trip_id").alias("report"))
+    return asof.nearest_event(
+        tf.routed_trips(spark, folder), reports, on=["route"], probe_time="trip_start_ts", event_time="ts", within_s=1800,
+        values=["report", "delay_s"], ties=["report"], direction=direction,
+    )
+
+
+@query
+def nearest_report(spark, folder):
+    """The delay report of the route that is nearest to each trip's start, within half an hour"""
+    return tidy(_nearest(spark, folder, "nearest").select("trip_id", "route", "report", "delay_s", "distance_us"))
+
+
+@query
+def last_report(spark, folder):
+    """The last report of the route up to each trip's start"""
+    return tidy(_nearest(spark, folder, "before").select("trip_id", "route", "report", "delay_s", "distance_us"))
+
+
+@query
+def reports_within(spark, folder):
+    """Every report of the route in the ten minutes around each trip's start"""
+    reports = tf.delay_reports(spark, folder).select("ts", "route", "delay_s", F.col("trip_id").alias("report"))
+    met = asof.events_within(
+        tf.routed_trips(spark, folder), reports, on=["route"], probe_time="trip_start_ts", event_time="ts", before_s=300, after_s=300,
+        values=["report", "delay_s"],
+    )
+    return tidy(met.select("trip_id", "route", "report", "delay_s", "distance_us"))
+
+
 # ---- model --------------------------------------------------------------------------------------
 
 
@@ -929,6 +974,24 @@ def robust_coefficients(spark, folder):
     return tidy(R.coefficient_table(spark, R.fit_linear(fact, on_null="drop")), MODEL_DIGITS)
 
 
+@query
+def robust_huber(spark, folder):
+    """M-estimate with Huber's loss"""
+    return tidy(robust.robust_table(_analysis(spark, folder), CONTROLS, robust.HUBER, "drop"), MODEL_DIGITS)
+
+
+@query
+def robust_tukey(spark, folder):
+    """M-estimate that gives far days no weight"""
+    return tidy(robust.robust_table(_analysis(spark, folder), CONTROLS, robust.TUKEY, "drop"), MODEL_DIGITS)
+
+
+@query
+def sandwich_errors(spark, folder):
+    """Errors under unequal variances"""
+    return tidy(robust.sandwich_table(_analysis(spark, folder), CONTROLS, "drop"), MODEL_DIGITS)
+
+
 @query
 def logit_mode_switch(spark, folder):
     """Probability of a mode switch by mean delay in minutes"""
@@ -1066,6 +1129,14 @@ def stream_delay_day(spark, folder):
     return tidy(delays.run_days(_report_stream(spark, folder), "delays"))
 
 
+@query
+def stream_closed_days(spark, folder):
+    """Each day once, when the watermark has closed it, with the reports that came after that"""
+    rows = closing.run_closing(_report_stream(spark, folder))
+    joined = closing.days_of(rows).join(closing.late_counts(rows), ["date", "route"], "left")
+    return tidy(joined.withColumn("too_late", F.coalesce("too_late", F.lit(0))))
+
+
 @query
 def stream_distinct_reports(spark, folder):
     """Two overlapping snapshots, each report once"""

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dayloom.fixed_values import COMMUTE_WINDOWS, LOCAL_ZONE
+from dayloom.functions.calendar import NSW_HOLIDAYS, Holiday, holiday_name
 from dayloom.functions.conform import conform
 from dayloom.functions.scalars import local_date, local_time, weekday_dummies
 from dayloom.operators.ranking import column_mode
@@ -94,6 +95,12 @@ def calendar_features(df: DataFrame, holidays: DataFrame | None = None) -> DataF
     )
 
 
+def observed_holidays(df: DataFrame, rules: Sequence[Holiday] = NSW_HOLIDAYS, date: str = "date") -> DataFrame:
+    """Add ``holiday``, the name of the public holiday or substitute day, null on other days, and ``is_holiday``; nothing is joined or shuffled."""
+    named = df.withColumn("holiday", holiday_name(F.to_date(date), tuple(rules)))
+    return named.withColumn("is_holiday", F.col("holiday").isNotNull())
+
+
 def mode_switch(days: DataFrame, entity_keys: Sequence[str] = ()) -> DataFrame:
     """Add the usual mode of the entity and whether this day's mode differs from it.
 

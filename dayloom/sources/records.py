@@ -28,18 +28,39 @@ def record_page_totals(spark: SparkSession, path: str, record: T.StructType) ->
     return seen.withColumn("complete", F.coalesce(F.col("rows") >= F.col("total"), F.lit(True)))
 
 
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    lines = spark.read.option("recursiveFileLookup", "true").text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    return lines.where(F.trim("value") != "")
+
+
+def _page_texts(spark: SparkSession, path: str) -> DataFrame:
+    """``value, file``: a row a page; rows without a value are none. Files of a page a line are read in splits, by as many tasks as their size asks for.
+
+    A file none of whose lines is a page by itself holds one page over several lines and is read whole. Which files these are takes one pass over
+    the lines; only their names reach the driver, as the names of all files do in any read.
+    """
+    lines = _lines(spark, path)
+    page = F.coalesce(F.array_contains(F.json_object_keys("value"), "result"), F.lit(False))
+    odd = [r["file"] for r in lines.groupBy("file").agg(F.bool_or(page).alias("paged")).where("NOT paged").select("file").collect()]
+    if not odd:
+        return lines
+    jvm = spark._jvm
+    paths = [jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name)).toString() for name in odd]
+    whole = spark.read.text(paths, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
+    # their lines stay as nulls, so that no check of a page can be moved ahead of leaving them out
+    rest = lines.select(F.when(~F.col("file").isin(odd), F.col("value")).alias("value"), "file")
+    return rest.unionByName(whole)
+
+
 def _pages(spark: SparkSession, path: str, record: T.StructType) -> DataFrame:
     result = T.StructType([T.StructField("records", T.ArrayType(record)), T.StructField("total", T.LongType())])
     page = T.StructType([T.StructField("result", result), T.StructField("_bad", T.StringType())])
-    files = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
-    lines = F.filter(F.split("value", "\r?\n"), lambda line: F.trim(line) != "")
-    by_line = F.forall(lines, lambda line: F.json_object_keys(line).isNotNull())
-    texts = F.when(by_line, lines).otherwise(F.array("value"))
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
-    parsed = files.select(F.explode(texts).alias("value")).select("value", F.from_json("value", page, options).alias("page"))
+    parsed = _page_texts(spark, path).select("value", "file", F.from_json("value", page, options).alias("page"))
     broken = F.col("page").isNull() | F.col("page._bad").isNotNull() | F.json_object_keys("value").isNull()
-    text = F.concat(F.lit("a record page does not parse: "), F.substring("value", 1, 80))
-    return parsed.where(F.when(broken, F.raise_error(text).cast("boolean")).otherwise(F.lit(True))).select("page")
+    text = F.concat(F.lit("a record page does not parse: "), F.substring("value", 1, 80), F.lit(" in "), F.col("file"))
+    there = F.col("value").isNotNull()
+    return parsed.where(F.when(there & broken, F.raise_error(text).cast("boolean")).otherwise(there)).select("page")
 
 
 def filter_records(records: DataFrame, filters: Mapping[str, object] | None = None) -> DataFrame:

@@ -137,3 +137,25 @@ def test_shared_dir_comes_from_the_session(spark):
 def test_custom_scenarios_reject_unknown_features(spark):
     with pytest.raises(ValueError, match="humidity"):
         scenarios.custom_scenario(spark, {"humidity": 1.0})
+
+
+def test_a_file_of_many_pages_is_read_by_many_tasks(spark, tmp_path):
+    record = T.StructType([T.StructField("a", T.LongType())])
+    folder = tmp_path / "many pages"
+    folder.mkdir()
+    pages = [json.dumps({"result": {"records": [{"a": 10 * i + j} for j in range(10)], "total": 20_001}}) for i in range(2000)]
+    (folder / "lines.json").write_text("\n".join(pages) + "\n\n")
+    (folder / "one page.json").write_text(json.dumps({"result": {"records": [{"a": 20_000}], "total": 20_001}}, indent=1))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20k")
+    try:
+        got = records.read_record_pages(spark, str(folder), record)
+        assert sorted(r["a"] for r in got.collect()) == list(range(20_001))
+        assert records._page_texts(spark, str(folder)).where("file LIKE '%lines.json'").rdd.getNumPartitions() > 4
+        assert tuple(records.record_page_totals(spark, str(folder), record).first()) == (2001, 20_001, 20_001, True)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    with open(folder / "lines.json", "a") as file:
+        file.write('{"result": {"records": [\n')
+    with pytest.raises(Exception, match="does not parse.*lines.json"):
+        records.read_record_pages(spark, str(folder), record).collect()

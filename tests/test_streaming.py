@@ -3,7 +3,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from dayloom.session import scratch_path
-from dayloom.streaming import delays
+from dayloom.streaming import closing, delays
 
 SCHEMA = "ts timestamp_ntz, route string, trip_id string, delay_s double"
 
@@ -55,3 +55,33 @@ def test_late_reports_are_dropped(spark):
     run()
     got = {str(r["date"]): r["report_count"] for r in spark.read.parquet(out).collect()}
     assert got == {"2024-04-05": 1, "2024-04-09": 1}
+
+
+def test_closed_days_equal_batch_and_late_reports_are_told(spark, rows):
+    path, out, state = (scratch_path(spark, n) for n in ("reports", "out", "state"))
+    start = datetime(2024, 4, 5)
+    data = [(start + timedelta(hours=3 * i), f"r{i % 3}", str(i), None if i % 7 == 0 else float(i % 5 * 30)) for i in range(40)]
+    land(spark, data[:25], path)
+    first = closing.run_closing(delays.read_reports(spark, path, SCHEMA), out, state)
+    assert closing.late_counts(first).count() == 0
+    closed = {r["date"] for r in closing.days_of(first).collect()}
+    # a report of a closed day, one of an open day behind the watermark, and rows without a time or route
+    more = [(start + timedelta(hours=1), "r9", "late", 500.0), (None, "r1", "x", 1.0), (start, None, "y", 1.0)]
+    land(spark, more, path)
+    land(spark, data[25:], path)
+    second = closing.run_closing(delays.read_reports(spark, path, SCHEMA), out, state)  # goes on from the checkpoint
+    batch = delays.daily_delays(spark.createDataFrame(data, SCHEMA))
+    last = batch.agg(F.max("date")).first()[0]
+    columns = ["date", "route", "report_count", "late_count", "mean_delay_s"]
+    assert rows(closing.days_of(second), *columns) == rows(batch.where(F.col("date") < F.lit(last)), *columns)
+    late = closing.late_counts(second).collect()
+    assert [(r["route"], r["too_late"]) for r in late] == [("r9", 1)] and late[0]["date"] in closed
+    assert [r["delay_s"] for r in second.where("kind = 'late'").collect()] == [500.0]
+    again = closing.run_closing(delays.read_reports(spark, path, SCHEMA), out, state)
+    assert again.count() == second.count()
+
+
+def test_an_empty_stream_closes_nothing(spark):
+    path = scratch_path(spark, "reports")
+    land(spark, [], path)
+    assert closing.run_closing(delays.read_reports(spark, path, SCHEMA)).count() == 0
