@@ -9,11 +9,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dayloom.llm.common import WORD, groups, keep, let, text_or_empty
+from dayloom.llm.common import WORD, discard, groups, keep, let, text_or_empty
 
 SPAN, LEAST = 5, 0.8
 RECALL = 1 - 1e-6  # of each pair of the least similarity, over all runs
 CHOSEN = 3  # tokens a set is expected to choose in one run
+SPARE = 3  # times as many are drawn, so that those in very many sets can be left out
+HOT_PATHS = 9  # buckets of such tokens that a set keeps if it has hardly any others: of a pair that shares 0.8 of them, none of these with a chance of 1e-6
+COLD_PATHS = 28  # buckets of other tokens that a set keeps, the first in an order that is the same for all: of those a pair shares half and more
+LEVEL_PATHS = 24  # buckets of one level that a set keeps after a split
 SPLIT = 12  # tokens it is expected to choose, of all it has, where a large bucket is split
 # Members that chose fewer tokens than this other than common ones are also compared in blocks. Of a pair of similarity 0.8 that shares none of these
 # tokens a member has at most SPLIT / 5 expected ones of its own, so a split that parts the pair leaves one out of this with a chance of 0.012 at most.
@@ -63,8 +67,8 @@ def seeds(n: int, salt: int) -> np.ndarray:
 
 
 def choose_paths(values: np.ndarray, counts: np.ndarray, runs: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, bucket) of the tokens each set chooses in each run: a token whose hash is below ``CHOSEN / size``."""
-    bound = np.repeat(np.minimum(CHOSEN / np.maximum(counts, 1), 1.0), counts)
+    """(row, bucket) of the tokens each set chooses in each run: a token whose hash is below ``SPARE * CHOSEN / size``."""
+    bound = np.repeat(np.minimum(SPARE * CHOSEN / np.maximum(counts, 1), 1.0), counts)
     row = np.repeat(np.arange(len(counts)), counts)
     rows, buckets = [], []
     for seed in seeds(runs, 1):
@@ -118,19 +122,44 @@ def profiles(docs: DataFrame, least: float = LEAST) -> DataFrame:
     return rows.mapInArrow(_profiles(n_runs(least)), schema)
 
 
-def leaves(sets: DataFrame, tokens_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def _first_paths(level: DataFrame, most: int) -> DataFrame:
+    """``key, bucket`` with the first ``most`` buckets of each key, in an order that is the same for all keys. A key has a bounded number of rows."""
+    listed = level.groupBy("key").agg(F.sort_array(F.collect_set("bucket")).alias("buckets"))
+    return listed.select("key", F.explode(F.slice("buckets", 1, most)).alias("bucket"))
+
+
+def leaves(sets: DataFrame, tokens_of: Callable[[DataFrame], DataFrame], least: float = LEAST) -> DataFrame:
     """``leaf, key, size``: buckets of two sets and more that need no further split.
 
-    A bucket of more than ``LEAF`` sets is split by tokens its members choose anew of all they have (``tokens_of`` gives ``key, shingles`` of a
+    Tokens in more than ``LEAF`` sets are left out of the choice: a pair of similarity ``least`` lacks at most ``1 - least`` of either's tokens, so a set whose
+    drawn tokens other than these outnumber that part by as many as a recall of ``RECALL`` asks for meets its partners in buckets of those
+    alone. Only sets made up of passages that very many share, as near copies in large groups, go on with buckets of such tokens, ``HOT_PATHS`` each.
+
+    A bucket of more than ``LEAF`` of these sets is split by tokens its members choose anew of all they have (``tokens_of`` gives ``key, shingles`` of a
     table of keys), other than those nearly all share, unless its members are alike on the whole (by their sketches and that of one
-    of them) or it has been split ``DEPTH`` times. Members left with ``FEW`` tokens, as a passage that the bucket shares makes up most of
-    them, are a leaf of their own besides. Counts and means decide; no bucket is gathered.
+    of them) or it has been split ``DEPTH`` times. A set keeps ``LEVEL_PATHS`` buckets of a level. Members left with ``FEW`` tokens, as a passage that the bucket shares
+    makes up most of them, are a leaf of their own besides. Counts and means decide; no bucket is gathered.
     """
-    level = sets.select("key", F.explode("paths").alias("bucket"))
-    done: list[DataFrame] = []
+    drawn = sets.select("key", F.size("paths").alias("drawn"), F.explode("paths").alias("bucket"))
+    sizes = drawn.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    listed = drawn.join(sizes, "bucket").groupBy("key", "drawn").agg(F.sort_array(F.collect_set(F.struct("bucket", "size"))).alias("met"))
+    hot = F.filter("met", lambda m: m["size"] > LEAF)
+    enough = F.col("drawn") * least - F.size(hot) >= -math.log(1 - RECALL)
+    sized = keep(
+        listed.select(
+            "key", F.slice(F.filter("met", lambda m: m["size"] <= LEAF), 1, COLD_PATHS).alias("cold"),
+            F.when(~enough, F.transform(F.slice(hot, 1, HOT_PATHS), lambda m: m["bucket"])).alias("hot"),
+        ),
+        "sized",
+    )
+    cold = sized.select("key", F.explode("cold").alias("m")).select("m.bucket", "key", "m.size")
+    done: list[DataFrame] = [cold]
+    spent: list[DataFrame] = [sized]
+    level = sized.select("key", F.explode("hot").alias("bucket"))
     for depth in range(DEPTH + 1):
         sizes = level.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-        sized = keep(level.join(sizes, "bucket"), f"sized-{depth}")
+        sized = keep(level.join(sizes, "bucket").select("bucket", "key", "size"), f"sized-{depth}")
+        spent.append(sized)
         done.append(sized.where(F.col("size") <= LEAF))
         large = sized.where(F.col("size") > LEAF)
         if large.isEmpty():
@@ -159,11 +188,16 @@ def leaves(sets: DataFrame, tokens_of: Callable[[DataFrame], DataFrame]) -> Data
         alone = few.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
         done.append(few.join(alone, "bucket").select(F.xxhash64(F.lit(4), "bucket").alias("bucket"), "key", "size"))
         level = tokens.join(parting, ["bucket", "token"])
-        level = keep(level.select("key", F.xxhash64(F.lit(3), "bucket", "token").alias("bucket")), f"level-{depth + 1}")
+        level = _first_paths(level.select("key", F.xxhash64(F.lit(3), "bucket", "token").alias("bucket")), LEVEL_PATHS)
+        level = keep(level, f"level-{depth + 1}")
+        spent += [dense, tokens, few, level]
     out = done[0]
     for part in done[1:]:
         out = out.unionByName(part)
-    return out.select(F.col("bucket").alias("leaf"), "key", "size")
+    out = keep(out.select(F.col("bucket").alias("leaf"), "key", "size"), "leaves")
+    for table in spent:
+        discard(table)
+    return out
 
 
 def _alike(a: str, b: str) -> Column:
@@ -325,8 +359,8 @@ def similar_documents(docs: DataFrame, least: float = LEAST) -> DataFrame:
     (class and copy are the row's doc_id). Rows repeated whole are copies of each other. A null doc_id counts as larger than all; a class
     of such rows alone has a null id. No rows give none.
 
-    Copies are one set from the start. A set is in about ``n_runs() * CHOSEN`` buckets as a token's hash; buckets are counted, split and
-    compared in groups of bounded size, and a pair counts in the first leaf both its sets are in, so that neither pairs nor
+    Copies are one set from the start. A set draws about ``n_runs() * SPARE * CHOSEN`` tokens; buckets are counted, those of very common tokens left out or split,
+    and the rest compared in groups of bounded size, and a pair counts in the first leaf both its sets are in, so that neither pairs nor
     buckets are ever rows of a table.
     """
     rows = keep(profiles(docs, least), "profiles")
@@ -342,7 +376,7 @@ def similar_documents(docs: DataFrame, least: float = LEAST) -> DataFrame:
         texts = docs.select("doc_id", "text").join(ids.select("copy_of").distinct(), F.col("doc_id").eqNullSafe(F.col("copy_of")), "left_semi")
         return keyed(texts).join(ids, (F.col("key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("copy_of"))).select("key", "shingles").dropDuplicates(["key"])
 
-    found = keep(leaves(sets, shingles_of), "leaves")
+    found = leaves(sets, shingles_of, least)
     listed = found.groupBy("key").agg(F.sort_array(F.collect_set("leaf")).alias("leaf_list"))
     grouped = keep(_blocks(found).join(listed, "key"), "groups")
     screened = grouped.select("group", "leaf", "within", "side", "key", "leaf_list").join(sets.select("key", "n", "sketch"), "key")
@@ -352,10 +386,13 @@ def similar_documents(docs: DataFrame, least: float = LEAST) -> DataFrame:
     ids = needed.select(F.col("copy_of").alias("_id")).distinct()
     texts = docs.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
     whole = keyed(texts).join(needed, "key").where(F.col("doc_id").eqNullSafe(F.col("copy_of")))
-    whole = keep(whole.select("key", "copies", "shingles"), "shingles").dropDuplicates(["key"])
+    written = keep(whole.select("key", "copies", "shingles"), "shingles")
+    whole = written.dropDuplicates(["key"])
     meeting = screened.join(grouped, ["group", "key"]).join(whole, "key")
     linked = meeting.repartition("group").sortWithinPartitions("group").mapInArrow(_verify(least), "key binary, links bigint, root binary")
     linked = keep(linked, "links")
+    for table in (found, grouped, screened, written):
+        discard(table)
     labels = components(linked)
     totals = sets.join(linked.groupBy("key").agg(F.sum("links").alias("links")), "key", "left").join(labels, "key", "left")
     totals = totals.select(
