@@ -337,7 +337,7 @@ ORACLES["refused_rows"] = sql(
 ORACLES["payload_files"] = """
 SELECT strlen(t) AS size_bytes, sha256(t) AS sha256 FROM (
     SELECT string_agg(CAST(s_suppkey AS VARCHAR), ',' ORDER BY CAST(s_suppkey AS VARCHAR)) || chr(10) AS t
-    FROM supplier WHERE s_nationkey IS NOT NULL GROUP BY s_nationkey)"""
+    FROM supplier GROUP BY s_suppkey // 20)"""
 ORACLES["absent_columns"] = sql(
     rounded(f"SELECT {DATE_TEXT}, rain_mm, CAST(NULL AS DOUBLE) AS temp_mean_c FROM weather_days", ["rain_mm"])
 )
@@ -366,6 +366,17 @@ ORACLES["latest_per_key"] = sql(
         ["trip_minutes", "fare_amount", "delay_seconds"],
     )
 )
+ORACLES["upserted_trips"] = sql(
+    rounded(
+        f"""SELECT trip_id, {stamp('trip_start_ts')} AS trip_start_ts, primary_mode, trip_minutes, fare_amount,
+        delay_seconds, CAST(ingest_date AS VARCHAR) AS ingest_date
+        FROM (SELECT * REPLACE (split_part(trip_id, '-', 1) AS trip_id), {local_day('trip_start_ts')} AS ingest_date FROM f_trips)
+        QUALIFY row_number() OVER (PARTITION BY trip_id ORDER BY ingest_date DESC,
+            trip_start_ts DESC NULLS LAST, primary_mode DESC NULLS LAST, trip_minutes DESC NULLS LAST,
+            fare_amount DESC NULLS LAST, delay_seconds DESC NULLS LAST) = 1""",
+        ["trip_minutes", "fare_amount", "delay_seconds"],
+    )
+)
 ORACLES["overlay_feed"] = sql(
     rounded(
         f"""SELECT CAST({local_day('observation_ts')} AS VARCHAR) AS date, station_id, avg(pm25) AS pm25_mean,

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from datetime import date, datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,7 +20,7 @@ from dayloom.functions.conform import refused_rows as refused
 from dayloom.operators import bootstrap as B
 from dayloom.operators import asof, cleaning, features, inference, joins, profile, quality, ranking, robust, scenarios
 from dayloom.operators import regression as R
-from dayloom.plans import marts, runs, staging
+from dayloom.plans import marts, runs, staging, upsert
 from dayloom.session import scratch_path
 from dayloom.sources import datasets, records
 from dayloom.sources import table_feeds as tf
@@ -208,10 +208,11 @@ def fact_entity_day(spark, folder):
         tf.air_quality(spark, folder), tf.weather(spark, folder), tf.beachwatch(spark, folder)
     )
     path = scratch_path(spark, "environment")
-    datasets.write_mart(env, path)
-    env = spark.read.parquet(path)
+    seen = Observation("environment")
+    datasets.write_mart(env.observe(seen, F.count(F.lit(1)).alias("days")), path)
+    env = spark.read.schema(env.schema).parquet(path)
     personal = staging.stg_personal_day(tf.personal(spark, folder), ["entity_id"])
-    return tidy(marts.fact_day(_entity_days(spark, folder), env, personal, ["entity_id"], env.count()))
+    return tidy(marts.fact_day(_entity_days(spark, folder), env, personal, ["entity_id"], seen.get["days"]))
 
 
 @query
@@ -381,11 +382,11 @@ def refused_rows(spark, folder):
 
 @query
 def payload_files(spark, folder):
-    """One payload file per supplier nation, read back with its bytes"""
-    rows = tf.table(spark, folder, "supplier").where("s_nationkey IS NOT NULL")
-    lines = rows.groupBy("s_nationkey").agg(F.array_join(F.sort_array(F.collect_list(F.col("s_suppkey").cast("string"))), ",").alias("value"))
+    """Payload files of the suppliers of 20 keys each, so that no file grows with the table, read back with their bytes"""
+    rows = tf.table(spark, folder, "supplier").select("s_suppkey", F.floor(F.col("s_suppkey") / 20).alias("part"))
+    lines = rows.groupBy("part").agg(F.array_join(F.sort_array(F.collect_list(F.col("s_suppkey").cast("string"))), ",").alias("value"))
     path = scratch_path(spark, "payloads")
-    lines.repartition("s_nationkey").write.partitionBy("s_nationkey").text(path)
+    lines.repartition("part").write.partitionBy("part").text(path)
     files = records.read_payloads(spark, path, "*.txt")
     return tidy(files.select("size_bytes", F.sha2("content", 256).alias("sha256")))
 
@@ -437,6 +438,17 @@ def latest_per_key(spark, folder):
     return tidy(ranking.latest_per_key(trips, ["trip_id"]))
 
 
+@query
+def upserted_trips(spark, folder):
+    """A mart of trips by key buckets, brought up to date by three landings, the second one the newest"""
+    trips = tf.commute_trips(spark, folder).drop("entity_id").withColumn("ingest_date", S.local_date("trip_start_ts"))
+    path = scratch_path(spark, "upserted")
+    line = F.substring_index("trip_id", "-", -1).cast("int")
+    for part in (line <= 3, line > 5, (line > 3) & (line <= 5)):
+        upsert.upsert(trips.where(part).withColumn("trip_id", F.substring_index("trip_id", "-", 1)), path, ["trip_id"])
+    return tidy(upsert.read_mart(spark, path))
+
+
 @query
 def overlay_feed(spark, folder):
     """The outside feed replaces the own one when it has rows"""

@@ -48,16 +48,15 @@ def column_mode(df: DataFrame, column: str, by: Sequence[str] = (), name: str |
 
 
 def hash_numbering(
-    df: DataFrame, key: Sequence[str], seed: int | str, prefix: int | None = None, part_rows: int = 100_000
+    df: DataFrame, key: Sequence[str], seed: int | str, prefix: int = 3, part_rows: float | None = None
 ) -> DataFrame:
     """Add ``position`` (0, 1, … in hash order of the unique key) and ``total``.
 
-    The hash prefix splits the rows into 16**prefix even parts. Each part is numbered by itself and
-    shifted by the sizes of the parts before it, so no task sees more than one part. Without a given ``prefix`` a count of the rows sets
-    it so that a part has about ``part_rows`` rows, 4,096 parts at least.
+    The hash prefix splits the rows into 16**prefix even parts, 4,096 as it stands. Each part is numbered by itself, in a sort that may spill, and
+    shifted by the sizes of the parts before it, so no task sees more than one part. ``part_rows`` asks for more parts where a part would hold more rows; the rows are
+    then counted first, which runs the input once more.
     """
-    if prefix is None:
-        prefix = 3
+    if part_rows is not None:
         rows = df.count()
         while 16**prefix * part_rows < rows:
             prefix += 1
@@ -65,7 +64,7 @@ def hash_numbering(
         "_part", F.substring("_hash", 1, prefix)
     )
     sizes = hashed.groupBy("_part").agg(F.count("*").alias("_size"))
-    # At most 16**prefix rows (4,096), so one task orders them and each executor can hold them.
+    # 16**prefix rows: one task orders them; up to 4,096 are sent to each executor.
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     shifts = sizes.select(
@@ -75,7 +74,7 @@ def hash_numbering(
     )
     within = Window.partitionBy("_part").orderBy("_hash", *key)
     return (
-        hashed.join(F.broadcast(shifts), "_part")
+        hashed.join(F.broadcast(shifts) if prefix <= 3 else shifts, "_part")
         .withColumn("position", F.row_number().over(within) - 1 + F.col("_shift"))
         .drop("_hash", "_part", "_shift")
     )
