@@ -334,6 +334,29 @@ ORACLES["refused_rows"] = sql(
         }.items()
     )
 )
+CTES["f_sites"] = f"""
+SELECT 'site_' || s AS site_id, 'Beach ' || s || CASE WHEN far THEN ' North' ELSE '' END AS site_name,
+       CASE WHEN NOT lost THEN -33.5 - s / 16.0 + CASE WHEN far THEN 0.25 ELSE 0 END END AS latitude,
+       CASE WHEN NOT lost THEN 151.25 + s / 32.0 END AS longitude, 'beach' AS type, seen_at
+FROM (SELECT o_custkey % 7 AS s, {ORDER_TIME} AS seen_at,
+             (o_custkey % 7 = 2 AND o_orderdate >= DATE '1995-06-01') OR (o_custkey % 7 = 3 AND year(o_orderdate) BETWEEN 1994 AND 1996) AS far,
+             o_custkey % 7 = 5 AND year(o_orderdate) = 1995 AS lost FROM orders)"""
+CTES["site_changes"] = """
+SELECT * FROM (SELECT *, (site_name, latitude, longitude, type) IS DISTINCT FROM (lag(site_name) OVER w, lag(latitude) OVER w, lag(longitude) OVER w, lag(type) OVER w)
+    OR row_number() OVER w = 1 AS changed FROM f_sites WINDOW w AS (PARTITION BY site_id ORDER BY seen_at)) WHERE changed"""
+CTES["site_versions"] = """
+SELECT site_id, site_name, latitude, longitude, type, seen_at AS valid_from, lead(seen_at) OVER w AS valid_to, row_number() OVER w AS version
+FROM site_changes WINDOW w AS (PARTITION BY site_id ORDER BY seen_at)"""
+ORACLES["dim_site_versions"] = sql(
+    rounded(
+        f"""SELECT site_id, site_name, latitude, longitude, type, {stamp('valid_from')} AS valid_from, {stamp('valid_to')} AS valid_to,
+        valid_to IS NULL AS is_current, version FROM site_versions""",
+        ["latitude", "longitude"],
+    )
+)
+ORACLES["observations_by_site_name"] = sql(
+    """SELECT site_id, site_name, count(*) AS observations, count(latitude) AS placed FROM f_sites GROUP BY ALL"""
+)
 ORACLES["payload_files"] = """
 SELECT strlen(t) AS size_bytes, sha256(t) AS sha256 FROM (
     SELECT string_agg(CAST(s_suppkey AS VARCHAR), ',' ORDER BY CAST(s_suppkey AS VARCHAR)) || chr(10) AS t

@@ -18,7 +18,7 @@ from dayloom.functions import scalars as S
 from dayloom.functions.conform import conform, require_columns
 from dayloom.functions.conform import refused_rows as refused
 from dayloom.operators import bootstrap as B
-from dayloom.operators import asof, cleaning, features, inference, joins, profile, quality, ranking, robust, scenarios
+from dayloom.operators import asof, cleaning, features, history, inference, joins, profile, quality, ranking, robust, scenarios
 from dayloom.operators import regression as R
 from dayloom.plans import marts, runs, staging, upsert
 from dayloom.session import scratch_path
@@ -232,6 +232,25 @@ def dim_environment_metric(spark, folder):
     return tidy(dim.withColumn("is_swimmable", F.col("is_swimmable").cast("string")))
 
 
+SITE = ["site_name", "latitude", "longitude", "type"]
+
+
+@query
+def dim_site_versions(spark, folder):
+    """Sites with name, place and type, a row for each time these held"""
+    return tidy(history.versions(tf.site_observations(spark, folder), ["site_id"], SITE, "observation_ts"))
+
+
+@query
+def observations_by_site_name(spark, folder):
+    """Beach observations counted under the name their site had then"""
+    named = history.version_at(
+        tf.beachwatch(spark, folder), history.versions(tf.site_observations(spark, folder), ["site_id"], SITE, "observation_ts"),
+        ["site_id"], "observation_ts", SITE,
+    )
+    return tidy(named.groupBy("site_id", "site_name").agg(F.count("*").alias("observations"), F.count("latitude").alias("placed")))
+
+
 @query
 def dim_site(spark, folder):
     """D14"""

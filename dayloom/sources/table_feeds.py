@@ -94,6 +94,23 @@ def beachwatch(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def site_observations(spark: SparkSession, folder: str) -> DataFrame:
+    """Descriptions of the beach sites as they were seen: two sites move and are renamed, one of them and back again, one has no place for a year."""
+    site, day = F.col("o_custkey") % 7, F.col("o_orderdate").cast("date")
+    moved = (site == 2) & (day >= F.lit("1995-06-01").cast("date"))
+    there = (site == 3) & day.between(F.lit("1994-01-01").cast("date"), F.lit("1996-12-31").cast("date"))
+    lost = (site == 5) & (F.year(day) == 1995)
+    latitude = F.lit(-33.5) - site.cast("double") / 16 + F.when(moved | there, F.lit(0.25)).otherwise(F.lit(0.0))
+    return table(spark, folder, "orders").select(
+        F.concat(F.lit("site_"), site.cast("string")).alias("site_id"),
+        F.concat(F.lit("Beach "), site.cast("string"), F.when(moved | there, F.lit(" North")).otherwise(F.lit(""))).alias("site_name"),
+        F.when(~lost, latitude).alias("latitude"),
+        F.when(~lost, F.lit(151.25) + site.cast("double") / 32).alias("longitude"),
+        F.lit("beach").alias("type"),
+        _order_time().alias("observation_ts"),
+    )
+
+
 def personal(spark: SparkSession, folder: str) -> DataFrame:
     sleep = F.when(F.col("o_orderkey") % 9 != 0, F.lit(4.0) + (F.col("o_orderkey") % 24).cast("double") / 4)
     return table(spark, folder, "orders").select(
