@@ -159,3 +159,19 @@ def test_a_file_of_many_pages_is_read_by_many_tasks(spark, tmp_path):
         file.write('{"result": {"records": [\n')
     with pytest.raises(Exception, match="does not parse.*lines.json"):
         records.read_record_pages(spark, str(folder), record).collect()
+
+
+def test_many_parts_of_differing_types_take_few_schema_reads(spark, monkeypatch):
+    base = scratch_path(spark, "raw")
+    kinds = ["double", "double", "double", "string", "string", "int", "int", "int"]
+    for day, kind in enumerate(kinds, 1):
+        rows = spark.range(0, 100, 1, 25).selectExpr("timestamp_ntz'2024-05-01 10:00:00' AS observation_ts", f"CAST(id AS {kind}) AS rain_mm", "1.5D AS temperature_c")
+        rows.write.parquet(f"{base}/{datasets.LANDING_SOURCES.get('weather', 'weather')}/ingest_date=2024-05-{day:02d}")
+    reads = []
+    real = type(spark.read).parquet
+    monkeypatch.setattr(type(spark.read), "parquet", lambda self, *paths, **options: reads.append(len(paths)) or real(self, *paths, **options))
+    got = datasets.read_feed(spark, base, "weather")
+    assert got.count() == 800 and got.agg(F.sum("rain_mm")).first()[0] == 8 * 4950
+    assert len(reads) < 40  # of 200 parts
+    by_date = datasets.read_feed(spark, base, "weather", keep_ingest_date=True, first_ingest=date(2024, 5, 4))
+    assert by_date.count() == 500 and by_date.select("ingest_date").distinct().count() == 5
