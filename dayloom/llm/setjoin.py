@@ -17,6 +17,7 @@ CHOSEN = 3  # tokens a set is expected to choose in one run
 SPARE = 3  # times as many are drawn, so that those in very many sets can be left out
 HOT_PATHS = 9  # buckets of such tokens that a set keeps if it has hardly any others: of a pair that shares 0.8 of them, none of these with a chance of 1e-6
 COLD_PATHS = 28  # buckets of other tokens that a set keeps, the first in an order that is the same for all: of those a pair shares half and more
+WHOLE = 8  # times a leaf: such a bucket of very common tokens is still compared in blocks, larger ones are split
 LEVEL_PATHS = 24  # buckets of one level that a set keeps after a split
 SPLIT = 12  # tokens it is expected to choose, of all it has, where a large bucket is split
 # Members that chose fewer tokens than this other than common ones are also compared in blocks. Of a pair of similarity 0.8 that shares none of these
@@ -135,7 +136,7 @@ def leaves(sets: DataFrame, tokens_of: Callable[[DataFrame], DataFrame], least:
     drawn tokens other than these outnumber that part by as many as a recall of ``RECALL`` asks for meets its partners in buckets of those
     alone. Only sets made up of passages that very many share, as near copies in large groups, go on with buckets of such tokens, ``HOT_PATHS`` each.
 
-    A bucket of more than ``LEAF`` of these sets is split by tokens its members choose anew of all they have (``tokens_of`` gives ``key, shingles`` of a
+    A bucket of more than ``WHOLE * LEAF`` of these sets is split by tokens its members choose anew of all they have (``tokens_of`` gives ``key, shingles`` of a
     table of keys), other than those nearly all share, unless its members are alike on the whole (by their sketches and that of one
     of them) or it has been split ``DEPTH`` times. A set keeps ``LEVEL_PATHS`` buckets of a level. Members left with ``FEW`` tokens, as a passage that the bucket shares
     makes up most of them, are a leaf of their own besides. Counts and means decide; no bucket is gathered.
@@ -160,8 +161,8 @@ def leaves(sets: DataFrame, tokens_of: Callable[[DataFrame], DataFrame], least:
         sizes = level.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
         sized = keep(level.join(sizes, "bucket").select("bucket", "key", "size"), f"sized-{depth}")
         spent.append(sized)
-        done.append(sized.where(F.col("size") <= LEAF))
-        large = sized.where(F.col("size") > LEAF)
+        done.append(sized.where(F.col("size") <= WHOLE * LEAF))
+        large = sized.where(F.col("size") > WHOLE * LEAF)
         if large.isEmpty():
             break
         if depth == DEPTH:
