@@ -16,7 +16,7 @@ RECALL = 1 - 1e-6  # of each pair of the least similarity, over all runs
 CHOSEN = 3  # tokens a set is expected to choose in one run
 SPARE = 3  # times as many are drawn, so that those in very many sets can be left out
 HOT_PATHS = 9  # buckets of such tokens that a set keeps if it has hardly any others: of a pair that shares 0.8 of them, none of these with a chance of 1e-6
-COLD_PATHS = 28  # buckets of other tokens that a set keeps, the first in an order that is the same for all: of those a pair shares half and more
+COLD_PATHS = 28  # buckets of other tokens that a set keeps at most
 WHOLE = 8  # times a leaf: such a bucket of very common tokens is still compared in blocks, larger ones are split
 LEVEL_PATHS = 24  # buckets of one level that a set keeps after a split
 SPLIT = 12  # tokens it is expected to choose, of all it has, where a large bucket is split
@@ -132,9 +132,9 @@ def _first_paths(level: DataFrame, most: int) -> DataFrame:
 def leaves(sets: DataFrame, tokens_of: Callable[[DataFrame], DataFrame], least: float = LEAST) -> DataFrame:
     """``leaf, key, size``: buckets of two sets and more that need no further split.
 
-    Tokens in more than ``LEAF`` sets are left out of the choice: a pair of similarity ``least`` lacks at most ``1 - least`` of either's tokens, so a set whose
-    drawn tokens other than these outnumber that part by as many as a recall of ``RECALL`` asks for meets its partners in buckets of those
-    alone. Only sets made up of passages that very many share, as near copies in large groups, go on with buckets of such tokens, ``HOT_PATHS`` each.
+    Tokens in more than ``LEAF`` sets are left out of the choice: a pair of similarity ``least`` lacks at most ``1 - least`` of either's tokens, which bounds the
+    part of its other tokens that both drew. A set keeps the first of these buckets, in an order that is the same for all, as many as a recall of ``RECALL`` asks for:
+    14 if it has no very common token, up to ``COLD_PATHS``. Only sets made up of passages that very many share, as near copies in large groups, go on with buckets of such tokens, ``HOT_PATHS`` each.
 
     A bucket of more than ``WHOLE * LEAF`` of these sets is split by tokens its members choose anew of all they have (``tokens_of`` gives ``key, shingles`` of a
     table of keys), other than those nearly all share, unless its members are alike on the whole (by their sketches and that of one
@@ -145,10 +145,14 @@ def leaves(sets: DataFrame, tokens_of: Callable[[DataFrame], DataFrame], least:
     sizes = drawn.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     listed = drawn.join(sizes, "bucket").groupBy("key", "drawn").agg(F.sort_array(F.collect_set(F.struct("bucket", "size"))).alias("met"))
     hot = F.filter("met", lambda m: m["size"] > LEAF)
-    enough = F.col("drawn") * least - F.size(hot) >= -math.log(1 - RECALL)
+    # of what both of a pair drew and few sets have, the part in both, at the least: what one lacks of the other counts as drawn and rare
+    others = F.col("drawn") - F.size(hot)
+    both = (others - F.col("drawn") * (1 - least)) / (others + F.col("drawn") * (1 / least - 1))
+    wanted = F.when(both > 0, F.ceil(F.lit(math.log(1 - RECALL)) / F.log(1 - both)).cast("int"))
+    enough = F.coalesce(wanted <= others, F.lit(False))
     sized = keep(
         listed.select(
-            "key", F.slice(F.filter("met", lambda m: m["size"] <= LEAF), 1, COLD_PATHS).alias("cold"),
+            "key", F.slice(F.filter("met", lambda m: m["size"] <= LEAF), F.lit(1), F.when(enough, wanted).otherwise(COLD_PATHS)).alias("cold"),
             F.when(~enough, F.transform(F.slice(hot, 1, HOT_PATHS), lambda m: m["bucket"])).alias("hot"),
         ),
         "sized",
