@@ -148,7 +148,7 @@ def leaves(sets: DataFrame, tokens_of: Callable[[DataFrame], DataFrame], least:
     # of what both of a pair drew and few sets have, the part in both, at the least: what one lacks of the other counts as drawn and rare
     others = F.col("drawn") - F.size(hot)
     both = (others - F.col("drawn") * (1 - least)) / (others + F.col("drawn") * (1 / least - 1))
-    wanted = F.when(both > 0, F.ceil(F.lit(math.log(1 - RECALL)) / F.log(1 - both)).cast("int"))
+    wanted = F.when(both > 0, F.least(F.ceil(F.lit(math.log(1 - RECALL)) / F.log(1 - both)), F.lit(1 << 20)).cast("int"))
     enough = F.coalesce(wanted <= others, F.lit(False))
     sized = keep(
         listed.select(
