@@ -3,14 +3,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dayloom.functions.scalars import round_even
 from dayloom.operators.quantiles import exact_quantiles, value_counts
 from dayloom.operators.ranking import arg_top
+from dayloom.session import scratch_path
 
+# Up to so many rows the built-in exact percentiles, which hold the distinct values of a column in one task, go with the other sums.
+HELD_ROWS = 1_000_000
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
 
@@ -19,11 +22,16 @@ def _long(df: DataFrame, columns: Sequence[str], kind: str) -> DataFrame:
     return df.select(F.explode(F.array(*pairs)).alias("p")).select("p.column", "p.value")
 
 
-def profile(df: DataFrame) -> DataFrame:
+def profile(df: DataFrame, held_rows: int = HELD_ROWS) -> DataFrame:
     """Per column: count; for text and flags unique, top, freq; for numbers mean, std, quartiles, range.
 
-    Quartiles are exact. Ties for ``top`` go to the smallest value.
+    Quartiles are exact. Ties for ``top`` go to the smallest value. The table is written once to the shared folder, as several passes read
+    it, and counted on the way: quartiles of up to ``held_rows`` rows come with the other numbers, those of more from ranges of sorted values.
     """
+    path, seen = scratch_path(df.sparkSession, "profiled"), Observation("profiled")
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    df = df.sparkSession.read.schema(df.schema).parquet(path)
+    held = seen.get["rows"] <= held_rows
     numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
     other = [c for c in df.columns if c not in numeric]
     parts = []
@@ -35,6 +43,8 @@ def profile(df: DataFrame) -> DataFrame:
             "min": F.min,
             "max": F.max,
         }
+        if held:
+            stats |= {name: (lambda c, at=at: F.percentile(c, F.lit(at))) for name, at in QUARTILES.items()}
         one_row = df.agg(
             *[f(F.col(c).cast("double")).alias(f"{c}.{s}") for c in numeric for s, f in stats.items()]
         )
@@ -42,8 +52,9 @@ def profile(df: DataFrame) -> DataFrame:
             F.struct(F.lit(c).alias("column"), *[F.col(f"`{c}.{s}`").alias(s) for s in stats]) for c in numeric
         ]
         summary = one_row.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
-        quartiles = exact_quantiles(_long(df, numeric, "double"), "value", QUARTILES, ["column"])
-        parts.append(summary.join(quartiles, "column", "left"))
+        if not held:
+            summary = summary.join(exact_quantiles(_long(df, numeric, "double"), "value", QUARTILES, ["column"]), "column", "left")
+        parts.append(summary)
     if other:
         counts = value_counts(_long(df, other, "string"), "value", ["column"])
         tops = counts.groupBy("column").agg(

@@ -176,3 +176,10 @@ def test_difference_in_means(spark):
     assert row["difference"] == pytest.approx(a.mean() - b.mean())
     assert row["std_error"] == pytest.approx((va + vb) ** 0.5)
     assert row["freedom"] == pytest.approx((va + vb) ** 2 / (va**2 / 49 + vb**2 / 69))
+
+
+def test_held_and_ranged_quartiles_agree(spark):
+    df = spark.range(500).selectExpr("CAST((id * 37) % 101 AS DOUBLE) / 8 AS a", "IF(id % 7 = 0, NULL, id) AS b", "CAST(id % 3 AS STRING) AS c")
+    names = ["column", "count", "q25", "q50", "q75", "mean", "top"]
+    few, many = (sorted(map(tuple, profile.profile(df, n).select(*names).collect())) for n in (10**6, 10))
+    assert few == many
