@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Elements by their part in a page.
-UNREAD = "script style noscript template svg math iframe object canvas audio video head title textarea select".split()
+UNREAD = "script style noscript template svg annotation annotation-xml iframe canvas audio video head title textarea select".split()
 BOILERPLATE = "nav footer aside form menu dialog button".split()
 BLOCKS = (
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
@@ -18,10 +18,11 @@ BLOCKS = (
 ).split()
 VOID = "area base br col embed hr img input link meta param source track wbr".split()
 HINTS = (
-    "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disclaimer "
+    "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disclaimer disqus "
     "footer gdpr masthead menu menubar modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted "
     "related replies respond share sharing sidebar sidenav skip social sponsor sponsored subscribe toolbar topbar widget widgets"
 ).split()
+READERS = "comment comments commentlist disqus replies respond".split()  # hints at what readers wrote; an article in there is one of theirs
 BEFORE, AFTER = "has no with without".split(), "open closed enabled disabled free".split()  # say something of a page about a hint in their compound
 ROLES = "navigation banner contentinfo complementary search form menu menubar dialog alertdialog".split()
 # Elements whose end may be left out, by kind; the kinds a start closes, and the elements around which hide a kind from it.
@@ -33,7 +34,7 @@ HIDES = {n: (1, 2) for n in BLOCKS if n not in "address div p li dt dd option".s
     "li": (2,), "dd": (1,), "dt": (1,), "table": (0, 1, 2, 3, 4, 5), "td": (0, 1, 2), "th": (0, 1, 2), "button": (0, 1, 2),
 }
 WINDOW = 3  # lines whose lengths are summed
-SURGE = 80  # characters in a window that start a text block on pages that do not mark their article
+SURGE = 80  # characters in a window that start a text block on pages that do not mark their article; the largest window's, where that has fewer
 LINK_PART = 0.5  # a line with more of its characters in links counts as empty
 
 TAG = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.S)
@@ -41,46 +42,51 @@ LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|$)", re.S)
 ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
 TOKENS = re.compile(r"[a-z]+|[A-Z][a-z]*")
 SPACES = re.compile(r"\s+")
-_unread, _boilerplate, _blocks, _void, _hints, _roles, _before, _after = map(
-    frozenset, (UNREAD, BOILERPLATE, BLOCKS, VOID, HINTS, ROLES, BEFORE, AFTER)
+_unread, _boilerplate, _blocks, _void, _hints, _readers, _roles, _before, _after = map(
+    frozenset, (UNREAD, BOILERPLATE, BLOCKS, VOID, HINTS, READERS, ROLES, BEFORE, AFTER)
 )
 
 
-PART, HINT = 1, 2  # an element that is boilerplate by itself, and one whose class or id hints at it
+PART, HINT, COMMENT = 1, 2, 3  # an element that is boilerplate by itself, one whose class or id hints at it, and one where that hints at readers
 
 
-def _hints_at(compound: str) -> bool:
+def _hints_at(compound: str) -> int:
     tokens = [t.lower() for t in TOKENS.findall(compound)]
-    return any(t in _hints and not (set(tokens[:i]) & _before or set(tokens[i + 1 :]) & _after) for i, t in enumerate(tokens))
+    found = [t for i, t in enumerate(tokens) if t in _hints and not (set(tokens[:i]) & _before or set(tokens[i + 1 :]) & _after)]
+    return COMMENT if not _readers.isdisjoint(found) else HINT if found else 0
 
 
 def _boilerplate_kind(name: str, attributes: str, in_article: bool) -> int:
     if name in _boilerplate or name == "header" and not in_article:
         return PART
-    if not attributes or name in ("html", "body", "main", "article"):
+    if not attributes or name in ("html", "body", "main"):
         return 0
     hinted = 0
     for key, value in ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'")
+        if name == "article" and key not in ("class", "id"):
+            continue
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
             return PART
         if key == "role" and value.lower() in _roles:
             return PART
-        if key in ("class", "id") and not hinted and any(map(_hints_at, value.split())):
-            hinted = HINT
-    return hinted
+        if key in ("class", "id"):
+            hinted = max([hinted, *map(_hints_at, value.split())])
+    return hinted if name != "article" or hinted == COMMENT else 0
 
 
-def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
-    """Lines of a page without markup: text, characters of it in links, whether inside an article, whether boilerplate.
+def lines_of(page: str) -> list[tuple[str, int, int, bool, bool, bool]]:
+    """Lines of a page without markup: text, characters of it in links, whether inside an article (1) or the main element (2), whether boilerplate, whether
+    inside any element, whether inside one whose class or id hints at boilerplate and that holds no article.
 
     A block element starts a line and its end ends it; other elements leave no trace. Elements whose end may be left out close
     where HTML says so, others left open with the element around them, however many are open; an unread element without an end runs to the end of the page.
     A class or id that hints at boilerplate does not count where the element holds the main element, articles while no article lies
     outside such elements, or most of the page's text that is not in links and four times what no such element holds. It counts
-    around an article or main element that lies outside such elements.
+    around an article or main element that lies outside such elements. An article that its own class or id, or an element around it, hands to readers is
+    a comment of theirs and marks nothing.
     """
-    lines: list[tuple[str, int, bool, bool, int]] = []  # and the innermost hinted element around it
+    lines: list[tuple[str, int, int, bool, int, bool]] = []  # and the innermost hinted element around it
     # per hinted element, from 1: the hinted one around it, the mark it holds, whether it lies in a mark
     around, holds, within, hint = [0], [""], [False], 0
     free: set[str] = set()  # marks outside hinted elements
@@ -90,30 +96,31 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
     open_: list[tuple[str, int, bool, tuple[int, ...]]] = []
     number: dict[str, int] = {}  # of open elements by name
     none = (-1,) * (1 + max(ENDLESS.values()))
-    skip = article = link = 0
+    skip = article = mains = link = comment = 0
 
     def close_line() -> None:
         nonlocal links
         if parts:
             text = SPACES.sub(" ", html_lib.unescape("".join(parts))).strip()
             if text:
-                lines.append((text, min(links, len(text)), article > 0, skip > 0, hint))
+                lines.append((text, min(links, len(text)), 2 if mains else int(article > 0), skip > 0, hint, bool(open_)))
             parts.clear()
         links = 0
 
     def pop() -> str:
-        nonlocal skip, article, link, hint
+        nonlocal skip, article, mains, link, hint, comment
         last, off, main, _ = open_[-1]
         if off or main:
             close_line()
         open_.pop()
         number[last] -= 1
+        mains -= main and last == "main"
         skip, article, link = skip - (off == PART), article - main, link - (last == "a")
-        hint = around[hint] if off == HINT else hint
+        hint, comment = around[hint] if off >= HINT else hint, comment - (off == COMMENT)
         return last
 
     def push(name: str, off: int, main: bool) -> None:
-        nonlocal skip, article, link, hint
+        nonlocal skip, article, mains, link, hint, comment
         near = open_[-1][3] if open_ else none
         if name in HIDES or name in ENDLESS:
             hidden, own = HIDES.get(name, ()), ENDLESS.get(name, -1)
@@ -121,7 +128,9 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
         open_.append((name, off, main, near))
         number[name] = number.get(name, 0) + 1
         skip, article, link = skip + (off == PART), article + main, link + (name == "a")
-        if off == HINT:
+        comment += off == COMMENT
+        mains += main and name == "main"
+        if off >= HINT:
             around.append(hint)
             holds.append("")
             within.append(article > 0)
@@ -173,7 +182,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
                 push("a", 0, False)
             starts = block or name in ("span", "a", "ins")
             off = _boilerplate_kind(name, found[3], article > 0) if starts else 0
-            main = name in ("article", "main") and not off and not skip
+            main = (name == "main" or name == "article" and not comment) and not off and not skip
             if off and not block:
                 close_line()
             push(name, off, main)
@@ -182,7 +191,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
                 pass
     close_line()
     own = [0] * len(around)
-    for text, linked, _, skipped, h in lines:
+    for text, linked, _, skipped, h, _ in lines:
         own[h] += 0 if skipped else len(text) - linked
     whole, plain, dropped = list(own), [0] * len(own), [False] * len(own)
     for h in range(len(own) - 1, 0, -1):
@@ -192,25 +201,27 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
         most = 2 * whole[h] > whole[0] and whole[h] > 4 * plain[h]
         spared = (within[h] or not free) and (holds[h] == "main" or holds[h] and "article" not in free or most)
         dropped[h] = dropped[around[h]] or not spared
-    return [(text, linked, inside, skipped or dropped[h]) for text, linked, inside, skipped, h in lines]
+    return [(text, linked, inside, skipped or dropped[h], boxed, h > 0 and not holds[h]) for text, linked, inside, skipped, h, boxed in lines]
 
 
 def main_text(page: str | None) -> str:
     """The article of a page, one block a line.
 
     Lines of menus, adverts and the like go with the markup. Lines outside the article of a page that marks it, and lines
-    of links on other pages, are blanked.
+    of links on other pages, are blanked. A page marks its article by a main element, or by article elements that have at least as much text,
+    links left out, as what lies outside, so that a teaser is not taken for the article.
     The lengths of the lines left are summed over sliding windows. A text block surges where the sum rises
-    from nothing past a bound (any text where the article is marked, else ``SURGE`` characters) and dives where it is nothing again; all
-    text between is kept, short paragraphs included.
+    from nothing past a bound (any text where the article is marked, else ``SURGE`` characters or what the page's largest window inside an element has) and
+    dives where it is nothing again; all text between is kept, short paragraphs included.
     """
     lines = lines_of(page or "")
-    marked = any(a and not s for _, _, a, s in lines)
-    least = 1 if marked else SURGE
+    inner = sum(len(t) - n for t, n, a, s, *_ in lines if a and not s)
+    outer = sum(len(t) - n for t, n, a, s, _, hinted in lines if not (a or s or hinted) and n <= LINK_PART * len(t))
+    marked = any(a == 2 and not s for _, _, a, s, *_ in lines) or any(a and not s for _, _, a, s, *_ in lines) and inner >= outer
     sizes: list[int] = []
     owner: list[int] = []
     gap = False
-    for i, (text, linked, inside, skipped) in enumerate(lines):
+    for i, (text, linked, inside, skipped, *_) in enumerate(lines):
         if skipped:
             continue
         if marked and not inside or not marked and linked > LINK_PART * len(text):
@@ -222,6 +233,9 @@ def main_text(page: str | None) -> str:
         gap = False
         sizes.append(len(text))
         owner.append(i)
+    boxed = [size if at >= 0 and lines[at][4] else 0 for size, at in zip(sizes, owner, strict=True)]
+    largest = max((sum(boxed[max(0, i + 1 - WINDOW) : i + 1]) for i in range(len(boxed))), default=0)
+    least = 1 if marked else min(SURGE, largest) or SURGE
     kept: list[str] = []
     start, most, total = None, 0, 0
     for at in range(len(sizes) + WINDOW):
@@ -240,7 +254,7 @@ def main_text(page: str | None) -> str:
 
 def extract_pages(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars`` for every row. A null or empty page, or one without an article, has an empty text. Pages are
-    independent: nothing is shuffled or cut, repeated rows stay."""
+    independent: nothing is shuffled or cut, repeated rows and null ids stay, very long pages are whole; no rows give none. Other columns are not read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:

@@ -158,6 +158,48 @@ def test_hints_spare_what_holds_the_text(page, text):
     assert extract.main_text(page) == text
 
 
+COMMENTS = "".join(f"<li><article class=comment-body><div>{LONG}</div></article></li>" for _ in range(2))
+
+
+@pytest.mark.parametrize("page,text", [
+    (f"<div class=entry-content><p>{LONG}<p>{LONG}</div><ol class=comment-list>{COMMENTS}</ol>", f"{LONG.strip()}\n{LONG.strip()}"),
+    (f"<div class=post><p>{LONG}</div><div id=comments><article>no</article></div>", LONG.strip()),
+    (f"<div class=body><p>{LONG}<p>{LONG}</div><section><article><h3>Teaser</h3></article></section>", f"{LONG.strip()}\n{LONG.strip()}\nTeaser"),
+    ("<p>One short line.<p>And another.", "One short line.\nAnd another."), ("<div><h1>Only a head</h1></div><footer>no</footer>", "Only a head"),
+    (f"<article><p>{LONG}<div class=disqus_thread>no</div><p>end</article>", f"{LONG.strip()}\nend"),
+    ("<article>Let <math><mi>x</mi><annotation>no</annotation></math> be <object>a plug-in</object>.</article>", "Let x be a plug-in."),
+    (f"<main><p>{LONG}</main><div>{LONG}{LONG}{LONG}</div>", LONG.strip()),
+    (f"<article class='post comments-open'><p>{LONG}</article>", LONG.strip()), (f"<article hidden><p>{LONG}</article>", LONG.strip()),
+])
+def test_the_article_is_not_lost(page, text):
+    assert extract.main_text(page) == text
+
+
+# Three page families that mark nothing, with the text that a reader sees as the article.
+def wiki(n):
+    body = "".join(f"<h2>Part {i}</h2><p>{LONG}{i}</p><ul><li>item {i}</li><li>next</li></ul>" for i in range(n))
+    page = f"<div id=mw-head><ul class=menu><li><a href=/>Main</a></ul></div><div id=bodyContent>{body}</div><div id=footer-info class=footer>{LONG}</div>"
+    return page, "\n".join(f"Part {i}\n{LONG.strip()} {i}\nitem {i}\nnext" for i in range(n))
+
+
+def forum(n):
+    posts = "".join(f"<tr><td class=user><a href=u{i}>user{i}</a></td><td><div class=text>{LONG}{i}</div></td></tr>" for i in range(n))
+    return f"<form><input></form><table>{posts}</table><div class='pagination'><a href=2>2</a></div>", "\n".join(f"{LONG.strip()} {i}" for i in range(n))
+
+
+def news(n):
+    body = "".join(f"<p>{LONG}{i}</p>" for i in range(n))
+    page = f"<div class=topbar>Sale!</div><div class=story><h1>Head</h1>{body}</div><div class='related-links'><a href=1>{LONG}</a></div><aside>{LONG}</aside>"
+    return page, "Head\n" + "\n".join(f"{LONG.strip()} {i}" for i in range(n))
+
+
+@pytest.mark.parametrize("family", [wiki, forum, news])
+@pytest.mark.parametrize("n", [1, 2, 30])
+def test_other_families_of_pages(family, n):
+    page, text = family(n)
+    assert extract.main_text(page) == text
+
+
 # ---- pieces
 
 
