@@ -783,6 +783,18 @@ ORACLES["cube_rain_status"] = sql(
 FROM (SELECT {RAIN_CASE.format('rain_24h_mm')} AS rainfall, beach_status FROM fact)
 GROUP BY CUBE (rainfall, beach_status)"""
 )
+ORACLES["cube_rain_status_steps"] = sql(
+    f"""SELECT rainfall, beach_status, active, count(*) AS n, CAST(grouping(rainfall, beach_status, active) AS BIGINT) AS grouping
+FROM (SELECT {RAIN_CASE.format('rain_24h_mm')} AS rainfall, beach_status, steps >= 1500 AS active FROM fact)
+GROUP BY CUBE (rainfall, beach_status, active)"""
+)
+ORACLES["status_over_time"] = sql(
+    rounded(
+        """SELECT substr(date, 1, 7) AS year_month, beach_status AS value, count(*) AS n, count(*) / CAST(sum(count(*)) OVER (PARTITION BY substr(date, 1, 7)) AS DOUBLE) AS share
+        FROM fact GROUP BY 1, 2""",
+        ["share"],
+    )
+)
 _freedom = "((a + b) * (a + b) / (a * a / (n_yes - 1) + b * b / (n_no - 1)))"
 STUDENT = " + ".join(f"{t!r} / {_freedom} ** {i}" for i, t in enumerate(STUDENT_TERMS))
 ORACLES["difference_wet_dry"] = sql(

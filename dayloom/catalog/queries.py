@@ -853,6 +853,19 @@ def cube_rain_status(spark, folder):
     return tidy(profile.cube_counts(fact, "rainfall", "beach_status"))
 
 
+@query
+def cube_rain_status_steps(spark, folder):
+    """Rain by status by whether one was out and about, with all subtotals"""
+    rows = _fact(spark, folder).withColumn("rainfall", S.rainfall_category("rain_24h_mm")).withColumn("active", F.col("steps") >= 1500)
+    return tidy(profile.cube_counts(rows, "rainfall", "beach_status", "active"))
+
+
+@query
+def status_over_time(spark, folder):
+    """How the days of each month spread over the beach's status"""
+    return tidy(profile.shares_over_time(_fact(spark, folder), "date", "beach_status"))
+
+
 @query
 def difference_wet_dry(spark, folder):
     """D9"""

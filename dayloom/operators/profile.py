@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -88,6 +88,14 @@ def cube_counts(df: DataFrame, *columns: str) -> DataFrame:
     return df.cube(*columns).agg(F.count(F.lit(1)).alias("n"), F.grouping_id().cast("int").alias("grouping"))
 
 
+def shares_over_time(df: DataFrame, date: str, column: str) -> DataFrame:
+    """``year_month, value, n, share``: the part of a month's rows that each value has, missing ones counted as a value. Counts are combined before the window
+    of a month sees them; rows without a date are a month of their own."""
+    month = F.date_format(F.to_date(date), "yyyy-MM").alias("year_month")
+    counts = df.groupBy(month, F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    return counts.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy("year_month")))
+
+
 def distribution(df: DataFrame, by: str, value: str) -> DataFrame:
     """Count, mean, range and exact quartiles of a value per category."""
     base = df.groupBy(by).agg(
