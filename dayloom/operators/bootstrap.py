@@ -78,9 +78,18 @@ def with_weights(
     raise ValueError("method must be 'multinomial' or 'poisson'")
 
 
+def exploded(coded: DataFrame, *columns: str) -> DataFrame:
+    """``columns`` and one code ``_c`` a row.
+
+    An inner explode would have Spark filter on the size of the codes, and as they follow from the key alone, push that filter through
+    joins and groups down to the raw rows, which would draw the codes of each key once for every raw row.
+    """
+    return coded.select(*columns, F.explode_outer("_codes").alias("_c")).where(F.col("_c").isNotNull())
+
+
 def weight_table(df: DataFrame, key: Sequence[str], seed: int, replicates: int, method: str) -> DataFrame:
     """Replicate weights in long form, zeros left out."""
-    coded = with_weights(df, key, seed, replicates, method).select(*key, F.explode("_codes").alias("_c"))
+    coded = exploded(with_weights(df, key, seed, replicates, method), *key)
     return coded.select(
         *key,
         F.shiftright("_c", 32).cast("int").alias("replicate"),
@@ -93,7 +102,7 @@ def bootstrap_means(
 ) -> DataFrame:
     """Mean of ``value`` in each replicate."""
     rows = df.where(F.col(value).isNotNull())
-    coded = with_weights(rows, key, seed, replicates, method).select(value, F.explode("_codes").alias("_c"))
+    coded = exploded(with_weights(rows, key, seed, replicates, method), value)
     weight = F.col("_c").bitwiseAND(F.lit(2**32 - 1))
     return coded.groupBy(F.shiftright("_c", 32).cast("int").alias("replicate")).agg(
         (F.sum(F.col(value) * weight) / F.sum(weight)).alias("mean")

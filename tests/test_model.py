@@ -229,3 +229,16 @@ def test_logit_matches_newton(spark):
         beta = beta + np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z, z.T @ (y - p))
     got = [r["coefficient"] for r in inference.logit_table(spark, model, ["x"]).collect()]
     assert got == pytest.approx(list(beta), abs=1e-4)
+
+
+def test_weights_are_drawn_once_a_key_and_not_for_every_raw_row(spark):
+    """Codes follow from the key alone; no filter on them may sink below the groups the keys come from."""
+    raw = spark.range(400).select((F.col("id") % 40).cast("string").alias("date"), F.col("id").cast("double").alias("x"))
+    days = raw.groupBy("date").agg(F.sum("x").alias("mood"))
+    for table in (B.weight_table(days, ["date"], 5, 12, "poisson"), B.bootstrap_means(days, "mood", ["date"], 5, 12)):
+        lines = table._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        hashed = [i for i, line in enumerate(lines) if "md5" in line]
+        assert len(hashed) == 1 and hashed[0] <= max(i for i, line in enumerate(lines) if "Aggregate" in line)
+    codes = {r["date"]: r["_codes"] for r in B.with_weights(days, ["date"], 5, 12, "poisson").collect()}
+    want = sorted((d, c >> 32, c & 0xFFFFFFFF) for d, line in codes.items() for c in line)
+    assert sorted(map(tuple, B.weight_table(days, ["date"], 5, 12, "poisson").collect())) == want
