@@ -61,11 +61,13 @@ def huber_consistency(c: float) -> float:
 
 @dataclass(frozen=True)
 class _Rows:
-    """Encoded rows in the shared folder, with the terms of the model in deviations from the mean."""
+    """Encoded rows in the shared folder, with the terms of the model in deviations from the mean. Of ``every`` feature those that vary have
+    ``names`` and terms."""
 
     table: DataFrame
     names: list[str]
     scaling: Scaling
+    every: list[str]
 
     def terms(self) -> list[Column]:
         return [F.lit(1.0), *[F.col(f"x_{name}") for name in self.names]]
@@ -99,7 +101,9 @@ def _written(df: DataFrame, design: Design, on_null: str) -> _Rows:
     encoded = encode(rows, design, scaling).select(*[f"x_{n}" for n in names], F.col(design.target).cast("double").alias(Y))
     path = scratch_path(df.sparkSession, "robust")
     encoded.write.parquet(path)
-    return _Rows(df.sparkSession.read.schema(encoded.schema).parquet(path), names, scaling)
+    table = df.sparkSession.read.schema(encoded.schema).parquet(path)
+    ends = table.agg(*[F.struct(F.min(f"x_{n}").alias("low"), F.max(f"x_{n}").alias("high")).alias(n) for n in names]).first()
+    return _Rows(table, [n for n in names if ends[n]["low"] != ends[n]["high"]], scaling, names)
 
 
 @dataclass(frozen=True)
@@ -122,11 +126,12 @@ def _least_squares(rows: _Rows) -> _LeastSquares:
 
 @dataclass(frozen=True)
 class RobustFit:
-    """Coefficients in the units of the features, with the scale of the residuals and the number of passes."""
+    """Coefficients in the units of the features, with the scale of the residuals and the number of passes. A feature that is constant in
+    the rows has neither slope nor error: None."""
 
     intercept: float
-    slopes: dict[str, float]
-    errors: dict[str, float]
+    slopes: dict[str, float | None]
+    errors: dict[str, float | None]
     scale: float
     passes: int
 
@@ -136,8 +141,8 @@ def fit_robust(df: DataFrame, design: Design, loss: Loss = HUBER, on_null: str =
 
     Huber's estimate solves for coefficients and scale at once (proposal 2: the scale is such that the mean squared influence is that
     of normal errors), so no pass sorts residuals. Tukey's starts from it and keeps its scale, as its own equations have many solutions.
-    Rows may be repeated; missing values are handled as ``on_null`` says. A fit that has not settled after ``most`` passes raises; so do collinear
-    features and too few rows. Rows on one plane give that plane, with scale and errors of zero.
+    Rows may be repeated; missing values are handled as ``on_null`` says. A feature that is constant in the rows is left to the intercept. A fit that
+    has not settled after ``most`` passes raises; so do collinear features and too few rows. Rows on one plane give that plane, with scale and errors of zero.
 
     Errors follow from the influence: its mean square over the squared mean of its slope, with Huber's correction for the number of terms.
     """
@@ -182,14 +187,15 @@ def fit_robust(df: DataFrame, design: Design, loss: Loss = HUBER, on_null: str =
 
 def _in_units(rows: _Rows, beta: np.ndarray, errors: np.ndarray, scale: float, passes: int) -> RobustFit:
     deviation = [rows.scaling.deviation[n] for n in rows.names]
-    slopes = {n: float(b) / d for n, b, d in zip(rows.names, beta[1:], deviation, strict=True)}
-    spread = {n: float(e) / d for n, e, d in zip(rows.names, errors[1:], deviation, strict=True)}
+    unknown = dict.fromkeys(rows.every)
+    slopes = unknown | {n: float(b) / d for n, b, d in zip(rows.names, beta[1:], deviation, strict=True)}
+    spread = unknown | {n: float(e) / d for n, e, d in zip(rows.names, errors[1:], deviation, strict=True)}
     intercept = float(beta[0]) - sum(slopes[n] * rows.scaling.mean[n] for n in rows.names)
     return RobustFit(intercept, slopes, spread, scale, passes)
 
 
 def robust_table(df: DataFrame, design: Design, loss: Loss = HUBER, on_null: str = "error") -> DataFrame:
-    """``term, coefficient, std_error, t_value`` of an M-estimate; a row a feature."""
+    """``term, coefficient, std_error, t_value`` of an M-estimate; a row a feature, with nulls where the feature is constant in the rows."""
     fit = fit_robust(df, design, loss, on_null)
     rows = [(n, b, fit.errors[n], b / fit.errors[n] if fit.errors[n] else None) for n, b in fit.slopes.items()]
     return df.sparkSession.createDataFrame(rows, "term string, coefficient double, std_error double, t_value double")
@@ -200,7 +206,7 @@ def sandwich_table(df: DataFrame, design: Design, on_null: str = "error") -> Dat
 
     HC1 scales the squared residuals by ``n / (n - terms)``, HC3 divides each by its squared distance from full leverage. The variance of a coefficient is a sum over
     the rows of the squared residual times the squared influence of the row on it, so the second pass needs one sum a coefficient and kind. A row
-    of full leverage has no residual and adds nothing.
+    of full leverage has no residual and adds nothing. A feature that is constant in the rows has nulls.
     """
     rows = _written(df, design, on_null)
     fit = _least_squares(rows)

@@ -1,6 +1,7 @@
 """M-estimates and sandwich errors against plain numpy."""
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from dayloom.operators import robust
 from dayloom.operators.regression import Design
@@ -83,3 +84,18 @@ def test_edges(spark):
     assert robust.fit_robust(holes, DESIGN, on_null="drop").slopes == pytest.approx({"a": 3.0, "b": -1.0})
     with pytest.raises(Exception, match="missing value"):
         robust.fit_robust(holes, DESIGN)
+
+
+def test_a_constant_feature_is_left_to_the_intercept(spark):
+    rows = sample(200)
+    wide, plain = Design(numeric=("a", "one", "b"), weekday=None, target="y"), table(spark, rows)
+    held = plain.withColumn("one", F.lit(0.1))
+    for loss in (robust.HUBER, robust.TUKEY):
+        got = {r["term"]: r for r in robust.robust_table(held, wide, loss).collect()}
+        for want in robust.robust_table(plain, DESIGN, loss).collect():
+            assert tuple(got[want["term"]])[1:] == pytest.approx(tuple(want)[1:])
+        assert list(got) == ["a", "one", "b"] and tuple(got["one"]) == ("one", None, None, None)
+    got = {r["term"]: r for r in robust.sandwich_table(held, wide).collect()}
+    for want in robust.sandwich_table(plain, DESIGN).collect():
+        assert tuple(got[want["term"]])[1:] == pytest.approx(tuple(want)[1:])
+    assert list(got) == ["a", "one", "b"] and tuple(got["one"]) == ("one", None, None, None)
