@@ -1,4 +1,7 @@
-"""The shared golden case: raw feeds of two days and the fact rows they give."""
+"""The shared golden case: raw feeds of two days and the fact rows they give; tables for queries that need more days."""
+import random
+from datetime import datetime, timedelta
+
 # The feeds of two days and the rows they must give.
 TRIPS = [
     ("c1", "2024-12-31T20:00:00+00:00", "train", 40.0, 5.5, 240.0),
@@ -63,3 +66,19 @@ FACT = [
 
 def feeds(spark):
     return {name: spark.createDataFrame(ROWS[name], TYPES[name]) for name in ROWS}
+
+
+def write_feed_tables(spark, folder, days=60, a_day=12):
+    """Order and line item tables for queries, with every customer a rainy one: ``after_rain`` holds on every day."""
+    draw, first = random.Random(11), datetime(1997, 3, 1)
+    orders, items = [], []
+    for key in range(1, days * a_day + 1):
+        day = first + timedelta(days=key % days)
+        order = key * 24 + draw.randrange(24)
+        orders.append((order, 3 * draw.randrange(1, 40), draw.randrange(10_000, 90_000) / 8, day, f"{draw.randrange(3)}-ORDER"))
+        for line in range(1, draw.randrange(2, 6)):
+            items.append((order, draw.randrange(50), line, float(draw.randrange(1, 50)), draw.randrange(10) / 100, draw.randrange(9) / 100, draw.choice("ANR"), day))
+    types = "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"
+    spark.createDataFrame(orders, types).write.parquet(f"{folder}/orders.parquet")
+    types = "l_orderkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_discount double, l_tax double, l_returnflag string, l_shipdate timestamp_ntz"
+    spark.createDataFrame(items, types).write.parquet(f"{folder}/lineitem.parquet")

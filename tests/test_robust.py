@@ -3,8 +3,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from dayloom.catalog import queries
 from dayloom.operators import robust
 from dayloom.operators.regression import Design
+from tests.cases import write_feed_tables
 
 DESIGN = Design(numeric=("a", "b"), weekday=None, target="y")
 
@@ -99,3 +101,22 @@ def test_a_constant_feature_is_left_to_the_intercept(spark):
     for want in robust.sandwich_table(plain, DESIGN).collect():
         assert tuple(got[want["term"]])[1:] == pytest.approx(tuple(want)[1:])
     assert list(got) == ["a", "one", "b"] and tuple(got["one"]) == ("one", None, None, None)
+
+
+@pytest.fixture(scope="module")
+def rainy(spark, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("rainy"))
+    write_feed_tables(spark, folder)
+    return folder
+
+
+def lines_where_it_always_rains(spark, folder, name):
+    """The lines of a query by term, but for ``after_rain``, which holds nulls."""
+    got = {r["term"]: tuple(r)[1:] for r in queries.QUERIES[name](spark, folder).collect()}
+    assert list(got) == list(queries.CONTROLS.numeric) and got.pop("after_rain") == (None, None, None)
+    return got
+
+
+def test_robust_tukey_answers_where_it_rains_on_every_day(spark, rainy):
+    for coefficient, error, t in lines_where_it_always_rains(spark, rainy, "robust_tukey").values():
+        assert error > 0 and t == pytest.approx(coefficient / error, rel=0.05, abs=0.02)
