@@ -120,3 +120,12 @@ def lines_where_it_always_rains(spark, folder, name):
 def test_robust_tukey_answers_where_it_rains_on_every_day(spark, rainy):
     for coefficient, error, t in lines_where_it_always_rains(spark, rainy, "robust_tukey").values():
         assert error > 0 and t == pytest.approx(coefficient / error, rel=0.05, abs=0.02)
+
+
+def test_sandwich_errors_answers_where_it_rains_on_every_day(spark, rainy):
+    got = lines_where_it_always_rains(spark, rainy, "sandwich_errors")
+    dry = Design(numeric=tuple(n for n in queries.CONTROLS.numeric if n != "after_rain"), weekday=None)
+    want = {r["term"]: tuple(r)[1:] for r in robust.sandwich_table(queries._analysis(spark, rainy), dry, "drop").collect()}
+    assert got.keys() == want.keys()
+    for term, line in want.items():
+        assert got[term] == pytest.approx(line, abs=2e-6) and line[1] > 0
