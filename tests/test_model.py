@@ -1,14 +1,17 @@
 import random
+from hashlib import md5
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from dayloom.catalog.queries import QUERIES
 from dayloom.fixed_values import NUMERIC_FEATURES, WEEKDAYS
 from dayloom.operators import bootstrap as B
 from dayloom.operators import inference, scenarios
 from dayloom.operators import regression as R
 from dayloom.sources.datasets import default_scenarios
+from tests.cases import write_feed_tables
 
 DESIGN = R.Design()
 
@@ -242,3 +245,21 @@ def test_weights_are_drawn_once_a_key_and_not_for_every_raw_row(spark):
     codes = {r["date"]: r["_codes"] for r in B.with_weights(days, ["date"], 5, 12, "poisson").collect()}
     want = sorted((d, c >> 32, c & 0xFFFFFFFF) for d, line in codes.items() for c in line)
     assert sorted(map(tuple, B.weight_table(days, ["date"], 5, 12, "poisson").collect())) == want
+
+
+def test_bootstrap_weights_poisson_draws_its_weights_once_a_day(spark, tmp_path):
+    """Over raw tables, the query hashes days that the groups have made and no raw row; its weights are those of plain Python."""
+    write_feed_tables(spark, str(tmp_path))
+    drawn = QUERIES["bootstrap_weights_poisson"](spark, str(tmp_path))
+    lines = drawn._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    hashed, grouped = ([i for i, line in enumerate(lines) if word in line] for word in ("md5", "Aggregate"))
+    assert len(hashed) == 1 and hashed[0] < min(grouped)
+    days = {r["date"] for r in QUERIES["fact_day"](spark, str(tmp_path)).collect() if r["mood_1_5"] is not None}
+
+    def weight(day, replicate):
+        text = md5(f"42|{replicate // 4}|{day}".encode()).hexdigest()
+        word = int(text[replicate % 4 * 8 :][:8], 16)
+        return sum(word >= step for step in B.POISSON_STEPS)
+
+    want = {(day, r, weight(day, r)) for day in days for r in range(20)}
+    assert {tuple(r) for r in drawn.collect()} == {line for line in want if line[2]}
