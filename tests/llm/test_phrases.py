@@ -119,3 +119,59 @@ def test_long_phrases_start_before_short_ones_are_done(spark):
     finally:
         phrases._scan = real
     assert max(reached.last) <= 7 and len(steps) <= 8  # all four lengths within two cycles, not four
+
+
+def test_counts_move_by_blocks_not_by_phrases(spark, monkeypatch):
+    docs = documents(spark, [" ".join(f"w{(7 * i + j) % 2000}" for j in range(60)) for i in range(4000)])
+    kept, rows = [], {}
+    real = phrases.keep
+
+    def watch(df, label, by=()):
+        out = real(df, label, by)
+        kept.append(label)
+        if label.startswith("counts"):
+            rows[label] = out.count()
+        return out
+
+    monkeypatch.setattr(phrases, "keep", watch)
+    found, totals = phrases.frequent_phrases(docs)
+    assert found.count() == 8000 and totals.first()["n"] == 240_000
+    assert "counts-0" in rows and max(rows.values()) <= 1000  # 2,000 words and as many phrases of each length
+
+
+def test_shared_slots_do_not_prolong_a_cycle():
+    """Once the cycle after the first scan of a slot is over, what reaches the threshold later in that slot starts no other."""
+
+    class Shared:
+        value = phrases.Reached(1, np.zeros(2, np.uint8), np.full(2, 5, np.uint8))
+
+    chunk = list(phrases._chunks(1)(iter([pa.RecordBatch.from_pydict({"lang": ["en"], "text": ["a b a b"]})])))[0]
+    assert list(phrases._scan(Shared, 3, 3)(iter([chunk]))) and not list(phrases._scan(Shared, 4, 3)(iter([chunk])))
+
+
+def test_a_phrase_counts_whatever_scan_completes_its_parts():
+    """Sums over one cycle by hand: shards hold the phrases at different times, and a merge tells each phrase once."""
+
+    class Shared:
+        value = phrases.NOTHING
+
+    texts = ["a b c. " * 4, "a b. a b c", "c a b. x"]
+    shard = [list(phrases._chunks(1)(iter([pa.RecordBatch.from_pydict({"lang": ["en"], "text": [t]})])))[0] for t in texts]
+    state, told = [], Counter()
+    for step in range(12):
+        batches = phrases._dealt(phrases._scan(Shared, step, 3), 6, 5)(iter([shard[step % 3]]))
+        blocks = {}
+        for r in [r for b in batches for r in b.to_pylist()] + state:
+            blocks.setdefault(r["block"], []).append(r)
+        merged = [phrases._merged(step, 5)(pa.Table.from_pylist(rows, phrases.COUNTS_ARROW)) for rows in blocks.values()]
+        state = [r for t in merged for r in t.to_pylist()]
+        first = np.full(1 << 16, phrases.NEVER, np.uint8)
+        for r in state:
+            if r["reached"] is not None:
+                slots = (np.frombuffer(r["keys"], "<u8") >> np.uint64(48)).astype(np.int64)
+                first[slots] = np.minimum(first[slots], r["reached"])
+        Shared.value = phrases.Reached(16, first)
+    for r in state:
+        assert r["reached"] is not None
+        told[r["k"]] += r["size"]
+    assert told == {1: 3, 2: 2, 3: 1}  # a, b, c; a b and b c; a b c
