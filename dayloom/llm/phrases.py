@@ -121,7 +121,8 @@ class Reached:
     """Per slot of the keys' leading bits the first scan after which a phrase of the slot had reached the threshold; what ``last`` would tell is not needed.
 
     Slots are shared where there are more phrases than slots: then a scan counts some phrases that need not be counted. As the number of slots is the same in all
-    scans and the first scan of a slot never changes, the scans of a phrase are a full cycle in any case, and no sum is below the true count.
+    scans and the first scan of a slot never changes, nor does the scan by which all parts of a phrase are there; the scans of a phrase are a full cycle in any case,
+    and no sum is below the true count.
     """
 
     def __init__(self, bits: int, first: np.ndarray, last: np.ndarray | None = None):
@@ -155,7 +156,7 @@ def _scan(shared, step: int, shards: int):
     """Counts of the active phrases of every length in the chunks of one shard: ``k, until, keys, n``, keys sorted.
 
     Words are active in the first cycle. A longer phrase is active from the scan after both its subphrases of one word less had reached the threshold, for one
-    full cycle; ``until`` is the scan that ends it. Up to ``WAITING`` places of several chunks are sorted and counted together.
+    full cycle; ``until`` is the scan that ends it. As a slot may be filled before the words of a phrase in it are, the shorter parts count too. Up to ``WAITING`` places of several chunks are sorted and counted together.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -182,13 +183,15 @@ def _scan(shared, step: int, shards: int):
                 if step < shards:
                     single.append((chunk.hashed[1:], np.bincount(chunk.at, minlength=len(chunk.words))[1:]))
                     size += len(chunk.words)
+                since = reached.of(chunk.hashed)[chunk.at[chunk.places]]
                 while chunk.length < LONGEST and len(chunk.places):
-                    first = reached.of(chunk.hashed)[chunk.at[chunk.places]] if chunk.length == 1 else reached.of(chunk.keys)
+                    first = np.maximum(reached.of(chunk.keys), since) if chunk.length > 1 else since
                     both = np.maximum(first, chunk.following(first, NEVER))
                     on = both < step
                     chunk.leave(on)
                     chunk.lengthen()
-                    until = both[on].astype(np.int32) + shards
+                    since = both[on]
+                    until = since.astype(np.int32) + shards
                     for end in range(step, step + shards):
                         keys = chunk.keys[until == end]
                         if len(keys):

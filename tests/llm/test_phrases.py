@@ -149,29 +149,54 @@ def test_shared_slots_do_not_prolong_a_cycle():
     assert list(phrases._scan(Shared, 3, 3)(iter([chunk]))) and not list(phrases._scan(Shared, 4, 3)(iter([chunk])))
 
 
-def test_a_phrase_counts_whatever_scan_completes_its_parts():
-    """Sums over one cycle by hand: shards hold the phrases at different times, and a merge tells each phrase once."""
+def told(shard: list[pa.RecordBatch], least: int, bits: int) -> Counter:
+    """How many phrases of each length the scans tell, with 2^bits slots; ``shard`` has a chunk for each shard."""
 
     class Shared:
         value = phrases.NOTHING
 
-    texts = ["a b c. " * 4, "a b. a b c", "c a b. x"]
-    shard = [list(phrases._chunks(1)(iter([pa.RecordBatch.from_pydict({"lang": ["en"], "text": [t]})])))[0] for t in texts]
-    state, told = [], Counter()
-    for step in range(12):
-        batches = phrases._dealt(phrases._scan(Shared, step, 3), 6, 5)(iter([shard[step % 3]]))
+    state, shards = [], len(shard)
+    for step in range(4 * shards):
+        batches = phrases._dealt(phrases._scan(Shared, step, shards), 6, least)(iter([shard[step % shards]]))
         blocks = {}
         for r in [r for b in batches for r in b.to_pylist()] + state:
             blocks.setdefault(r["block"], []).append(r)
-        merged = [phrases._merged(step, 5)(pa.Table.from_pylist(rows, phrases.COUNTS_ARROW)) for rows in blocks.values()]
-        state = [r for t in merged for r in t.to_pylist()]
-        first = np.full(1 << 16, phrases.NEVER, np.uint8)
+        state = [r for rows in blocks.values() for r in phrases._merged(step, least)(pa.Table.from_pylist(rows, phrases.COUNTS_ARROW)).to_pylist()]
+        first = np.full(1 << bits, phrases.NEVER, np.uint8)
         for r in state:
             if r["reached"] is not None:
-                slots = (np.frombuffer(r["keys"], "<u8") >> np.uint64(48)).astype(np.int64)
+                slots = (np.frombuffer(r["keys"], "<u8") >> np.uint64(64 - bits)).astype(np.int64)
                 first[slots] = np.minimum(first[slots], r["reached"])
-        Shared.value = phrases.Reached(16, first)
+        Shared.value = phrases.Reached(bits, first)
+    assert all(r["reached"] is not None for r in state)
+    out = Counter()
     for r in state:
-        assert r["reached"] is not None
-        told[r["k"]] += r["size"]
-    assert told == {1: 3, 2: 2, 3: 1}  # a, b, c; a b and b c; a b c
+        out[r["k"]] += r["size"]
+    return out
+
+
+def one_chunk(text: str) -> pa.RecordBatch:
+    return list(phrases._chunks(1)(iter([pa.RecordBatch.from_pydict({"lang": ["en"], "text": [text]})])))[0]
+
+
+def test_a_phrase_counts_whatever_scan_completes_its_parts():
+    shard = [one_chunk(t) for t in ["a b c. " * 4, "a b. a b c", "c a b. x"]]
+    assert told(shard, 5, 16) == {1: 3, 2: 2, 3: 1}  # a, b, c; a b and b c; a b c
+
+
+@pytest.mark.parametrize("bits", [2, 4, 6, 7, 8, 9, 12, 20])
+def test_no_phrase_is_missed_where_slots_are_shared(bits):
+    """Also where the slot of a phrase is filled before its words have reached the threshold."""
+    random.seed(bits)
+    for _ in range(3):
+        texts = []
+        for shard in range(3):
+            pieces = [" ".join(random.choice("abcdefghij") + str(random.randint(0, 5)) for _ in range(8)) for _ in range(150)]
+            texts.append(". ".join([*pieces, *[f"late{i} run{i} on{i} and{i}" for i in range(20) for _ in range((3, 3, 6)[shard - i % 3])], *["again " * 5] * shard]))
+        f = Counter()
+        for text in texts:
+            for piece in text.split("."):
+                words = piece.split()
+                for k in range(1, 5):
+                    f.update(tuple(words[i : i + k]) for i in range(len(words) - k + 1))
+        assert told([one_chunk(t) for t in texts], 10, bits) == Counter(len(p) for p, n in f.items() if n >= 10)
